@@ -10,12 +10,35 @@ from pyspark.sql import functions as F
 from .common import stage_table, table, word_count
 from .mixing import mix
 from .packing import pack_documents
+from .simhash import near_duplicates
+from .warc import archive_pages
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive_pages(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, octet_length(encode(html))::bigint as payload_bytes, sha256(html) as payload_digest from p),
+o as (select *, min(page_id) over (partition by payload_digest) as first from d)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id <> first then first end as refers_to
+from o
+"""
+
+
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mix(stage_table(sized, "mix-sizes"), size=F.col("size"))
@@ -55,8 +78,8 @@ from rated
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op5_source_mixing)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op5_source_mixing, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_source_mixing": OP5_SQL}
+    return {"op2_warc_revisits": OP2_SQL, "op5_source_mixing": OP5_SQL}
