@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stage_table, table, word_count
+from .licenses import oracle as license_oracle
+from .licenses import recognise
 from .mixing import mix
 from .packing import pack_documents
+from .quality_rules import judge
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .warc import archive_pages
@@ -44,6 +47,41 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, measures=("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")).drop("rejected_by")
+
+
+OP3_SQL = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+w as (
+  select r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from d),
+windows as (select r, i, words[i] || chr(10) || words[i + 1] || chr(10) || words[i + 2] as g
+            from (select r, words, unnest(range(1, len(words) - 1)) as i from w)),
+many as (select r, i from (select r, i, count(*) over (partition by r, g) as n from windows) where n > 1),
+covered as (select r, count(distinct p) as n from (select r, i + unnest([0, 1, 2]) as p from many) group by r),
+m as (
+  select w.doc_id, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words, len(lines) as n_lines,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) as upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) as letters,
+         len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) as letter_words
+  from w left join covered c using (r)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and word_chars between 2 * n_words and 12 * n_words and 10 * n_symbols <= n_words
+       and 2 * n_dup_lines <= n_lines and not (letters > 0 and upper / letters > 0.5)
+       and letter_words / n_words >= 0.6 as kept
+from b
+"""
+
+
+def op4_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recognise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mix(stage_table(sized, "mix-sizes"), size=F.col("size"))
@@ -83,8 +121,8 @@ from rated
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op5_source_mixing, op9_suffix_array_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op9_suffix_array_dedup, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_revisits": OP2_SQL, "op5_source_mixing": OP5_SQL}
+    return {"op2_warc_revisits": OP2_SQL, "op3_quality_cascade": OP3_SQL, "op4_license_sentences": license_oracle(), "op5_source_mixing": OP5_SQL}
