@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, quality_mil
 from .common import stage_table, table, word_count
 from .licenses import oracle as license_oracle
 from .licenses import recognise
@@ -38,6 +39,21 @@ from o
 """
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    held = langid.held_out("doc_id", 4, 2)
+    model = langid.train(docs, ~held)
+    found = langid.predict(docs.select("doc_id", held.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
+def op8_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_mil.train(docs, quality_mil.learn_from(labels))
+    return quality_mil.predict(docs.withColumn("held_out", langid.held_out("doc_id", 5, 0)), model).drop("text")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), kept="sha256")
 
@@ -121,7 +137,7 @@ from rated
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op9_suffix_array_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
