@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality_mil
+from . import ann, langid, quality_mil
 from .common import stage_table, table, word_count
 from .licenses import oracle as license_oracle
 from .licenses import recognise
@@ -39,6 +39,10 @@ from o
 """
 
 
+def op6_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     held = langid.held_out("doc_id", 4, 2)
@@ -137,7 +141,7 @@ from rated
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op6_ann_kmeans_tree, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
