@@ -29,10 +29,11 @@ class CachedEncoder:
     """Token ids as little-endian 32-bit bytes, with those of blank-separated parts remembered.
 
     Where blanks stand alone the vocabulary's pre-tokenizer never reaches across one backwards, so a text's ids are
-    those of its parts, each with its blank, one after another. Other texts are encoded whole.
+    those of its parts, each with its blank, one after another. Parts not yet known are encoded together, and the
+    tokens that begin with a blank tell them apart. Other texts are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 800_000, longest: int = 48):
         import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -42,28 +43,43 @@ class CachedEncoder:
         self.known: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.other_space = re.compile(_OTHER_SPACE).search
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True  # how the vocabulary writes a blank
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part with a blank before it."""
+        ids = np.array(self.tokenizer.encode(" " + " ".join(parts), add_special_tokens=False).ids, dtype="<u4")
+        cuts = np.flatnonzero(self.begins[ids]).tolist()
+        if len(cuts) != len(parts):
+            return [self._whole(" " + p) for p in parts]
+        flat = ids.tobytes()
+        return [flat[4 * a : 4 * b] for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
 
     def __call__(self, text: str) -> bytes:
         if (
             "  " in text or " \n" in text or "\n " in text or self.other_space(text)
             or any(s in text for s in self.special)
         ):
-            return self._whole([text])[0]
+            return self._whole(text)
         first, *rest = text.split(" ")
-        known = self.known
+        known, long = self.known, {}
         if missing := set(rest).difference(known):
             if len(known) > self.most:
                 known.clear()
                 missing = set(rest)
-            parts = list(missing)
-            ids = dict(zip(parts, self._whole([" " + p for p in parts]), strict=True))
-            known.update((p, i) for p, i in ids.items() if len(p) <= self.longest)
-            if any(len(p) > self.longest for p in parts):
-                return self._whole([first])[0] + b"".join([known[p] if p in known else ids[p] for p in rest])
-        return (self._whole([first])[0] if first else b"") + b"".join(map(known.__getitem__, rest))
+            if "" in missing:
+                known[""] = self._whole(" ")
+                missing.discard("")
+            if parts := list(missing):
+                for p, ids in zip(parts, self._parts(parts), strict=True):
+                    (known if len(p) <= self.longest else long)[p] = ids
+        if long:
+            return (self._whole(first) if first else b"") + b"".join([known[p] if p in known else long[p] for p in rest])
+        return (self._whole(first) if first else b"") + b"".join(map(known.__getitem__, rest))
 
 
 _encoders: dict[str, CachedEncoder] = {}
