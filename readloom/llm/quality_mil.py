@@ -158,26 +158,28 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, seed: int
     return model
 
 
-def predict(docs: DataFrame, model: Model | None, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """docs with score (0 to 1, higher: label 1 likelier) and predicted (1 from threshold on).
+def predict(docs: DataFrame, model: Model | None, threshold: float = 0.3, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """docs with score (0 to 1, higher: label 1 likelier) and predicted (1 from threshold on); without text_col unless
+    keep_text.
 
     Null and empty texts are bags of one empty passage. Without a model every score is 0.5. Repeated rows score alike;
     other columns pass through, and those of the two names are replaced; an empty table gives an empty table.
     """
-    rest = [c for c in docs.columns if c not in ("score", "predicted")]
-    schema = T.StructType([docs.schema[c] for c in rest] + T.StructType.fromDDL("score double, predicted int").fields)
+    rest = [c for c in docs.columns if c not in ("score", "predicted", text_col)]
+    passed = [*rest, text_col] if keep_text else rest
+    schema = T.StructType([docs.schema[c] for c in passed] + T.StructType.fromDDL("score double, predicted int").fields)
     names = schema.names
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            data = batch.column(len(rest))
+            data = batch.column(len(rest)).cast(pa.binary())
             scores = [model.score(*encode_passages(texts)) if model else np.full(len(texts), 0.5) for _, texts in _bags(data)]
             score = np.concatenate(scores).astype(np.float64) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=names)
 
-    return docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data_")).mapInArrow(run, schema)
+    return docs.select(*rest, text_col).mapInArrow(run, schema)
 
 
 def learn_from(labels: DataFrame, folds: int = 5, fold: int = 0, id_col: str = "doc_id") -> DataFrame:

@@ -55,7 +55,7 @@ def op8_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     model = quality_mil.train(docs, quality_mil.learn_from(labels))
-    return quality_mil.predict(docs.withColumn("held_out", langid.held_out("doc_id", 5, 0)), model).drop("text")
+    return quality_mil.predict(docs.withColumn("held_out", langid.held_out("doc_id", 5, 0)), model)
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

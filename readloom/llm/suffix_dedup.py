@@ -421,7 +421,8 @@ def removed_runs(spans: list[dict] | None, size: int, length: int) -> list[tuple
 
 def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_limit: int = 4096, bits: int = 1 << 26, id_col: str = "doc_id", text_col: str = "text", kept: str = "kept") -> DataFrame:
     """docs without text_col, and n_bytes, n_removed, n_spans (long) and kept: the bytes left of each text, or with
-    kept="sha256" their SHA-256 in the column kept_sha256.
+    kept="text" them as text, without what is left of a character cut in two, or with kept="sha256" their SHA-256 in
+    the column kept_sha256.
 
     A byte goes if a string of `length` bytes over it also starts anywhere else in the corpus, in the same text or
     another's; strings are judged on the input and never reach across texts. Null text counts as empty. Rows of one
@@ -437,7 +438,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_l
     bitmap = key_bitmap(spans.select(F.xxhash64("doc_id").alias("k")), "k", bits >> 3)
     key = F.xxhash64(F.col(id_col))
     digest = kept == "sha256"
-    last = F.sha2("data", 256).alias("kept_sha256") if digest else F.col("data").alias("kept")
+    last = F.sha2("data", 256).alias("kept_sha256") if digest else F.col("data").cast("string" if kept == "text" else "binary").alias("kept")
     none = F.lit(0).cast("long")
     counted = plain.select(*rest, F.octet_length("data").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), last)
     untouched = _kept_by(counted, key, bitmap, inside=False)
@@ -461,7 +462,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_l
                     ends = [0, *[x for r in runs for x in r], len(data)]
                     remains = b"".join([data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)])
                     total.append(len(data)), gone.append(len(data) - len(remains)), many.append(len(runs))
-                    left.append(hashlib.sha256(remains).hexdigest() if digest else remains)
-                yield pa.RecordBatch.from_arrays([*lot.columns[: len(names)], *[pa.array(x, pa.int64()) for x in (total, gone, many)], pa.array(left, pa.string() if digest else pa.binary())], names=out_names)
+                    left.append(hashlib.sha256(remains).hexdigest() if digest else remains.decode(errors="ignore") if kept == "text" else remains)
+                yield pa.RecordBatch.from_arrays([*lot.columns[: len(names)], *[pa.array(x, pa.int64()) for x in (total, gone, many)], pa.array(left, pa.binary() if kept == "kept" else pa.string())], names=out_names)
 
     return untouched.unionByName(joined.select(*names, "packed", "spans").mapInArrow(run, untouched.schema))
