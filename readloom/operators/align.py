@@ -22,9 +22,9 @@ STEP = 65_536
 
 
 def mismatch_budget(length: int, allowed: float, error: float = 0.02) -> int:
-    """Mismatches that a read may have: `allowed` itself if 1 or more, else the least number that a read of this
+    """Mismatches that a read may have: `allowed` itself if 0 or from 1 on, else the least number that a read of this
     length exceeds with a probability under it, at `error` errors a base."""
-    if allowed >= 1:
+    if allowed == 0 or allowed >= 1:
         return int(allowed)
     mean, term, below, k = length * error, exp(-length * error), exp(-length * error), 0
     while k == 0 or 1 - below >= allowed:
