@@ -63,11 +63,8 @@ class Model:
     temperature: float = 1.0
     limit: float = float("inf")  # of the cross-entropy that a known language stays under
 
-    def score(self, words: list[str]) -> np.ndarray:
-        """For each word, made of letters: the sum of log2 probabilities by language, and how many symbols."""
-        out = np.zeros((len(words), len(self.languages) + 1))
-        if not words:
-            return out
+    def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word, place and the languages' log2 probabilities of each symbol of words; place 0 is the opening edge."""
         word, place, hashes = _grams(words, self.order)
         before = [np.zeros(len(word), np.uint64)] + [np.concatenate([[np.uint64(0)], h[:-1]]) for h in hashes[:-1]]
         todo = np.flatnonzero(place > 0)
@@ -82,8 +79,15 @@ class Model:
             total[rest[seen]] += self.backs[k - 1][at[seen]]
             todo = np.concatenate([todo[~long], rest])
         total[todo] += self.uniform  # symbols no language has
-        np.add.at(out[:, :-1], word, np.where((place > 0)[:, None], total, 0))
-        out[:, -1] = np.bincount(word[place > 0], minlength=len(words))
+        return word, place, total
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """For each word, made of letters: the sum of log2 probabilities by language, and how many symbols."""
+        out = np.zeros((len(words), len(self.languages) + 1))
+        if words:
+            word, place, total = self.symbols(words)
+            np.add.at(out[:, :-1], word, total)
+            out[:, -1] = np.bincount(word[place > 0], minlength=len(words))
         return out
 
 
