@@ -144,6 +144,6 @@ class MappingJob:
     def _table(self, name: str, rows: DataFrame) -> DataFrame:
         """Writes a small table as TSV, with numbers as the summary prints them."""
         six, two = ("endog", "duprate", "avg_depth", "pct_covered"), ("avg_readlen",)
-        shown = rows.select(*[F.format_string("%.6f", c).alias(c) if c in six else F.format_string("%.2f", c).alias(c) if c in two else F.col(c) for c in rows.columns])
+        shown = rows.select(*[F.format_string("%.6f", F.col(c).cast("double")).alias(c) if c in six else F.format_string("%.2f", F.col(c).cast("double")).alias(c) if c in two else F.col(c) for c in rows.columns])
         shown.coalesce(1).write.mode("overwrite").csv(os.path.join(self.config.outdir, f"{self.config.sample}.{name}"), sep="\t", header=True)
         return rows
