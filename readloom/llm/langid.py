@@ -33,7 +33,7 @@ def _grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list[n
     hashes, h = [], np.zeros(len(text), np.uint64)
     for k in range(order):
         shifted = np.zeros(len(text), np.uint64)
-        shifted[k:] = text[: len(text) - k] if k else text
+        shifted[k:] = text[: max(0, len(text) - k)]
         h = (h ^ (shifted + np.uint64(k * 0x1F1F1F1F1F))) * np.uint64(0x9E3779B97F4A7C15)
         h = h ^ (h >> np.uint64(29))
         hashes.append(h)
