@@ -54,10 +54,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def ring(most: int) -> tuple[list[int], int]:
-    """Segment widths and how many consecutive ones make a key, for a Hamming bound: 2 * most + 1 segments, of which
-    chains up to most have budget 0."""
-    n = max(2, 2 * most + 1)
-    return [BITS // n + (i < BITS % n) for i in range(n)], max(1, most)
+    """Segment widths and how many consecutive ones make a key, for a Hamming bound from 1: 2 * most + 1 segments, and
+    the longest chain of budget 0."""
+    n = 2 * most + 1
+    return [BITS // n + (i < BITS % n) for i in range(n)], max(l for l in range(1, n + 1) if l * most // n == 0)
 
 
 def _masks(widths: list[int]) -> list[np.uint64]:
@@ -129,7 +129,7 @@ def links(nodes: DataFrame, most: int = 2, bucket: int = 1024) -> DataFrame:
     keyed = nodes.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("start"), chain(i, length).alias("key")) for i in range(n)])).alias("s")).select("fp", "s.*")
     hot = stage_table(keyed.groupBy("start", "key").count().where(F.col("count") > bucket).select("start", "key"), "simhash-hot")
     usual = keyed.join(hot, ["start", "key"], "left_anti").withColumn("left_out", F.lit(-1)).withColumn("rest", F.lit(0).cast("long"))
-    wider = min(n, max(l for l in range(1, n + 1) if l * most // n <= 1)) if most > 1 else length
+    wider = max(l for l in range(1, n + 1) if l * most // n <= 1)
     if wider > length:
         rest = F.element_at(F.array(*[chain(i + length, wider - length) for i in range(n)]), F.col("start") + 1)
         bits = F.element_at(F.array(*[F.lit(sum(widths[(i + k) % n] for k in range(length, wider))) for i in range(n)]), F.col("start") + 1)
