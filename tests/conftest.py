@@ -38,11 +38,13 @@ def duck():
 
 def same_rows(found, asked) -> None:
     """Two pandas frames hold the same rows, whatever their order; null is null, and 1.0 is 1."""
+    import pandas as pd
+
     columns = sorted(found.columns)
     assert columns == sorted(asked.columns)
 
     def rows(frame):
-        whole = lambda x: None if x is None or x != x or str(x) in ("<NA>", "NaT") else int(x) if isinstance(x, float) and x.is_integer() else x
+        whole = lambda x: None if pd.isna(x) else int(x) if isinstance(x, float) and x.is_integer() else x
         return sorted(repr([str(whole(x)) for x in r]) for r in frame[columns].astype(object).itertuples(index=False))
 
     assert rows(found) == rows(asked)
