@@ -38,6 +38,14 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Has the session send rows to Python in batches of at most `rows` from now on: rows that hold whole texts are long,
+    and both ends keep a batch in memory. A lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_bitmap, key_bitmap, stage_table
+from .common import in_bitmap, key_bitmap, stage_table, text_batches
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _CHUNK = 1 << 20
@@ -430,6 +430,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_l
     ids are ids like any other; texts under `length` bytes stay as they are; an empty table gives an empty table.
     Other columns pass through; columns of the names above are replaced.
     """
+    text_batches(docs.sparkSession)
     spans = find_repeats(docs.select(id_col, text_col), length, anchor, group_limit, bits, id_col, text_col)
     made = ["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "th", "data"]
     rest = [F.col(c) for c in docs.columns if c not in [*made, text_col]]
