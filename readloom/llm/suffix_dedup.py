@@ -432,21 +432,20 @@ def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_l
     """
     text_batches(docs.sparkSession)
     spans = find_repeats(docs.select(id_col, text_col), length, anchor, group_limit, bits, id_col, text_col)
-    made = ["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "th", "data"]
-    rest = [F.col(c) for c in docs.columns if c not in [*made, text_col]]
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    plain = docs.select(*rest, F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), text.alias("data"))
+    made = ["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", text_col]
+    rest = F.struct(*[F.col(c) for c in docs.columns if c not in made]).alias("rest")  # so that no name clashes
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    plain = docs.select(rest, F.col(id_col).alias("doc_id"), F.hash(text).alias("th"), text.cast("binary").alias("data"))
     bitmap = key_bitmap(spans.select(F.xxhash64("doc_id").alias("k")), "k", bits >> 3)
-    key = F.xxhash64(F.col(id_col))
+    key = F.xxhash64("doc_id")
     digest = kept == "sha256"
     last = F.sha2("data", 256).alias("kept_sha256") if digest else F.col("data").cast("string" if kept == "text" else "binary").alias("kept")
     none = F.lit(0).cast("long")
-    counted = plain.select(*rest, F.octet_length("data").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), last)
-    untouched = _kept_by(counted, key, bitmap, inside=False)
+    counted = plain.select("rest", "doc_id", F.octet_length("data").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), last)
+    untouched = _kept_by(counted, key, bitmap, inside=False).drop("doc_id")
     touched = _packed(_kept_by(plain, key, bitmap))
-    names = [c for c in docs.columns if c not in [*made, text_col]]
+    joined = touched.join(spans.hint("shuffle_hash"), _same_doc(touched, spans), "left").select("rest", "packed", "spans")
     out_names = untouched.columns
-    joined = touched.join(spans.withColumnRenamed("doc_id", "span_doc").withColumnRenamed("th", "span_th").hint("shuffle_hash"), touched[id_col].eqNullSafe(F.col("span_doc")) & (touched["th"] == F.col("span_th")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -457,13 +456,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_l
         for batch in batches:
             for lot in _lots(batch, 256):
                 total, gone, many, left = [], [], [], []
-                for packed, ranges in zip(lot.column(len(names)), lot.column(len(names) + 1).to_pylist(), strict=True):
+                for packed, ranges in zip(lot.column(1), lot.column(2).to_pylist(), strict=True):
                     data = unpack(packed.as_py())
                     runs = removed_runs(ranges, len(data), length)
                     ends = [0, *[x for r in runs for x in r], len(data)]
                     remains = b"".join([data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)])
                     total.append(len(data)), gone.append(len(data) - len(remains)), many.append(len(runs))
                     left.append(hashlib.sha256(remains).hexdigest() if digest else remains.decode(errors="ignore") if kept == "text" else remains)
-                yield pa.RecordBatch.from_arrays([*lot.columns[: len(names)], *[pa.array(x, pa.int64()) for x in (total, gone, many)], pa.array(left, pa.binary() if kept == "kept" else pa.string())], names=out_names)
+                yield pa.RecordBatch.from_arrays([lot.column(0), *[pa.array(x, pa.int64()) for x in (total, gone, many)], pa.array(left, pa.binary() if kept == "kept" else pa.string())], names=out_names)
 
-    return untouched.unionByName(joined.select(*names, "packed", "spans").mapInArrow(run, untouched.schema))
+    return untouched.unionByName(joined.mapInArrow(run, untouched.schema)).select("rest.*", *out_names[1:])
