@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from .common import in_bitmap, key_bitmap, stage_table, text_batches
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 @lru_cache(maxsize=2)
@@ -246,16 +246,15 @@ def _same_doc(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
 
 
-def _kept_by(df: DataFrame, key: Column, bitmap: bytes, inside: bool = True) -> DataFrame:
-    """The rows of df whose 64-bit key falls on a set bit of the bitmap, or those whose key doesn't."""
-    spark = df.sparkSession
-    sent = spark.sparkContext.broadcast(bitmap)
+def _left_out_by(df: DataFrame, key: Column, bitmap: bytes) -> DataFrame:
+    """The rows of df whose 64-bit key falls on no set bit of the bitmap."""
+    sent = df.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sent.value, np.int64)
         for batch in batches:
-            hit = in_bitmap(bits, batch.column(batch.num_columns - 1).to_numpy())
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1])).filter(pa.array(hit == inside))
+            miss = ~in_bitmap(bits, batch.column(batch.num_columns - 1).to_numpy())
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1])).filter(pa.array(miss))
 
     return df.withColumn("bitmap_key", key).mapInArrow(run, df.schema)
 
@@ -309,7 +308,7 @@ def find_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_lim
         different.join(open_grams, "gram").groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "gram", "around", "n", "hot")).alias("wanted")), "suffix-wanted"
     )
     bitmap = key_bitmap(wanted.select(F.xxhash64("doc_id").alias("k")), "k", bits >> 3)
-    texts = _packed(_kept_by(large, F.xxhash64("doc_id"), bitmap))
+    texts = _packed(large, F.xxhash64("doc_id"), bitmap)
     texts = texts.join(wanted.hint("shuffle_hash"), _same_doc(texts, wanted)).select(texts["doc_id"], texts["th"], "packed", "wanted")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,22 +387,25 @@ def find_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_lim
     return stage_table(whole.unionByName(found).groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
 
 
-def _packed(keyed: DataFrame) -> DataFrame:
-    """doc_id, th, packed and further columns of rows with data: texts compressed for the shuffle."""
+def _packed(keyed: DataFrame, key: Column, bitmap: bytes) -> DataFrame:
+    """The rows of keyed (data and further columns) whose key falls on a set bit, with data compressed as packed for
+    the shuffle."""
     schema = T.StructType([T.StructField("packed", T.BinaryType()) if f.name == "data" else f for f in keyed.schema.fields])
     place = keyed.columns.index("data")
+    sent = keyed.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack, bits = zstandard.ZstdCompressor(level=1).compress, np.frombuffer(sent.value, np.int64)
         for batch in batches:
             for lot in _lots(batch):
-                columns = list(lot.columns)
-                columns[place] = pa.array([pack(x.as_buffer()) for x in columns[place]], pa.binary())
+                hit = np.flatnonzero(in_bitmap(bits, lot.column(lot.num_columns - 1).to_numpy()))
+                columns = [c if i == place else c.take(pa.array(hit)) for i, c in enumerate(lot.columns[:-1])]
+                columns[place] = pa.array([pack(columns[place][i].as_buffer()) for i in hit.tolist()], pa.binary())
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return keyed.mapInArrow(run, schema)
+    return keyed.withColumn("bitmap_key", key).mapInArrow(run, schema)
 
 
 def removed_runs(spans: list[dict] | None, size: int, length: int) -> list[tuple[int, int]]:
@@ -442,8 +444,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_l
     last = F.sha2("data", 256).alias("kept_sha256") if digest else F.col("data").cast("string" if kept == "text" else "binary").alias("kept")
     none = F.lit(0).cast("long")
     counted = plain.select("rest", "doc_id", F.octet_length("data").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), last)
-    untouched = _kept_by(counted, key, bitmap, inside=False).drop("doc_id")
-    touched = _packed(_kept_by(plain, key, bitmap))
+    untouched = _left_out_by(counted, key, bitmap).drop("doc_id")
+    touched = _packed(plain, key, bitmap)
     joined = touched.join(spans.hint("shuffle_hash"), _same_doc(touched, spans), "left").select("rest", "packed", "spans")
     out_names = untouched.columns
 
