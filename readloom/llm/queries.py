@@ -62,6 +62,23 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), kept="sha256")
 
 
+OP9_SQL = """
+with d as (select row_number() over () as r, doc_id, encode(coalesce(text, '')) as h from documents),
+w as (select r, i, hash(h[i + 1 : i + 200]) as k from (select r, h, unnest(range(0, octet_length(h) - 199)) as i from d) t),
+many as (select r, i from (select r, i, count(*) over (partition by k) as n from w) c where n > 1),
+marked as (select r, i, sum(fresh) over (partition by r order by i) as run from (select r, i, case when i - lag(i) over (partition by r order by i) <= 200 then 0 else 1 end as fresh from many) f),
+s as (select r, run, min(i) as a, max(i) + 200 as b from marked group by r, run),
+left_over as (
+  select r, coalesce(lag(b) over (partition by r order by a), 0) as x, a as y from s
+  union all select d.r, max(b), any_value(octet_length(h)) from s join d on s.r = d.r group by d.r),
+kept as (select l.r, string_agg(case when y > x then hex(h[x + 1 : y]) else '' end, '' order by x) as k from left_over l join d on l.r = d.r group by l.r),
+total as (select r, sum(b - a) as removed, count(*) as runs from s group by r)
+select doc_id, octet_length(h)::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(runs, 0)::bigint as n_spans,
+       case when k is null then sha256(h) else sha256(unhex(k)) end as kept_sha256
+from d left join total on d.r = total.r left join kept on d.r = kept.r
+"""
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -145,4 +162,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_revisits": OP2_SQL, "op3_quality_cascade": OP3_SQL, "op4_license_sentences": license_oracle(), "op5_source_mixing": OP5_SQL}
+    return {"op2_warc_revisits": OP2_SQL, "op3_quality_cascade": OP3_SQL, "op4_license_sentences": license_oracle(), "op5_source_mixing": OP5_SQL, "op9_suffix_array_dedup": OP9_SQL}
