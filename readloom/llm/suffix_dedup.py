@@ -259,12 +259,13 @@ def _left_out_by(df: DataFrame, key: Column, bitmap: bytes) -> DataFrame:
     return df.withColumn("bitmap_key", key).mapInArrow(run, df.schema)
 
 
-def find_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_limit: int = 4096, bits: int = 1 << 26, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_limit: int = 65_536, bits: int = 1 << 26, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, th, spans: per text (its id and a hash of it) the ranges lo to hi of starts of repeated strings, not
     yet clipped to the text.
 
-    Anchors that have over group_limit different surroundings are not brought together; for them each string through
-    the anchor is counted by its hash.
+    The different surroundings of an anchor are brought together in one task while they are at most group_limit, of
+    2 * length - anchor bytes each: 24 MB with the usual numbers. For anchors of more, each string through the anchor is
+    counted by its hash, which takes length - anchor + 1 narrow rows an occurrence.
     """
     reach = length - anchor
     keyed = _keyed(docs, id_col, text_col)
@@ -421,7 +422,7 @@ def removed_runs(spans: list[dict] | None, size: int, length: int) -> list[tuple
     return [(a, b) for a, b in runs]
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_limit: int = 4096, bits: int = 1 << 26, id_col: str = "doc_id", text_col: str = "text", kept: str = "kept") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, anchor: int = 40, group_limit: int = 65_536, bits: int = 1 << 26, id_col: str = "doc_id", text_col: str = "text", kept: str = "kept") -> DataFrame:
     """docs without text_col, and n_bytes, n_removed, n_spans (long) and kept: the bytes left of each text, or with
     kept="text" them as text, without what is left of a character cut in two, or with kept="sha256" their SHA-256 in
     the column kept_sha256.
