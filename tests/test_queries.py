@@ -12,7 +12,7 @@ from readloom.jobs import queries as reads
 def test_query_equals_sql(spark, duck, name):
     found = reads.queries()[name](spark, DATA).toPandas()
     asked = duck.execute(reads.oracle_sql()[name]).df()
-    if name not in ("count_mismatch", "pair_conflicts", "unit_orphans"):
+    if name not in ("count_mismatch", "pair_conflicts", "unit_orphans", "single_trim"):  # the smallest tables have none of these
         assert len(found)
     same_rows(found, asked)
 
@@ -34,6 +34,7 @@ def test_adapter_trim_leaves_the_read(spark):
     from readloom.jobs.queries import Views
 
     v = Views(spark, DATA)
-    found = reads.queries()["adapter_trim"](spark, DATA).join(v.reads.select("unit_id", "ordinal", v.reads["seq"].alias("whole")), ["unit_id", "ordinal"])
+    whole = v.reads.selectExpr("unit_id", "ordinal", "seq as whole")
+    found = reads.queries()["adapter_trim"](spark, DATA).join(whole, ["unit_id", "ordinal"])
     n, kept = found.count(), found.where("whole = seq").count()
     assert kept > 0.9 * n and found.where("not startswith(whole, seq)").count() == 0
