@@ -16,6 +16,7 @@ from readloom.functions import alignment as A
 from readloom.functions import headers as H
 from readloom.operators import align, coverage, damage, limits, pairing, post, stats, trim
 from readloom.sources import manifest, reports
+from readloom.sources.reference import windows
 from readloom.streaming import arrivals
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -78,6 +79,8 @@ CUT = f"""select {_joined(*_KEY)} as read_id, g.rname, l_linenumber, cast((l_par
   cast(case when l_returnflag = 'R' then 16 else 0 end as int) as flag,
   substr(g.seq, cast((l_partkey * 37 + l_orderkey * 11) % (g.length - 80) + 1 as int), cast(30 + 6 * l_linenumber as int)) as reference
   from {{lineitem}} l join {{genome}} g on g.rname = 'chr' || {_s("l_partkey % 4")}"""
+#: On Spark the reads are cut from short pieces of the contigs, as a place in a long string is walked to.
+PLACES = CUT.replace("substr(g.seq, cast((l_partkey * 37 + l_orderkey * 11) % (g.length - 80) + 1 as int), cast(30 + 6 * l_linenumber as int)) as reference", "cast(30 + 6 * l_linenumber as int) as n")
 _DAMAGED = "case when l_linenumber % 2 = 0 and substr(reference, 1, 1) = 'C' then 'T' || substr(reference, 2) else reference end"
 
 
@@ -90,10 +93,19 @@ class Views:
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        sql = GENOME["spark"] if name == "genome" else CUT if name == "cut" else VIEWS[name]
+        if name == "cut":
+            return self._cut()
+        sql = GENOME["spark"] if name == "genome" else VIEWS[name]
         used = {t: getattr(self, t) for t in (*TABLES, *VIEWS, "genome") if f"{{{t}}}" in sql}
         return self.spark.sql(sql, **used)
 
+    def _cut(self) -> DataFrame:
+        placed = self.spark.sql(PLACES, lineitem=self.lineitem, genome=self.genome.select("rname", "length"))
+        pieces = windows(self.genome, align.STEP, 80).select("rname", "window", "start", "bases")
+        at = placed.withColumn("window", F.expr(f"cast((pos - 1) div {align.STEP} as int)")).join(pieces, ["rname", "window"])
+        reference = F.expr("substring(bases, cast(pos - start + 1 as int), n)").alias("reference")
+        return at.select("read_id", "rname", "l_linenumber", "pos", "flag", reference)
+
     def headers_described(self) -> DataFrame:
         h = self.headers
         return pairing.describe(h.select("idx", "header", F.array("header", "header2").alias("header_sample"), "reads"))

@@ -14,11 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from readloom.functions.alignment import reverse_complement
 from readloom.sources.reference import kmers, windows
 
-STEP = 65_536
+#: Bases of a contig in one piece, besides the overlap: every candidate is joined with one.
+STEP = 1024
 
 
 def mismatch_budget(length: int, allowed: float, error: float = 0.02) -> int:
@@ -52,9 +54,24 @@ def _against(candidates: DataFrame, contigs: DataFrame, longest: int) -> DataFra
     return joined.withColumn("reference", F.expr("substring(piece, cast(greatest(pos, 1) - piece_start + 1 as int), cast(length(bases) - greatest(1 - pos, 0) as int))")).drop("piece", "piece_start", "window")
 
 
-def mismatches(a: Column, b: Column) -> Column:
-    """Places where two strings of one length differ."""
-    return F.aggregate(F.sequence(F.lit(1), F.length(a)), F.lit(0), lambda n, i: n + F.when(F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1)), 1).otherwise(0))
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings of a column after one another, and where each begins."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0]
+
+
+def with_mismatches(compared: DataFrame) -> DataFrame:
+    """compared (bases and reference, each pair of one length above 0) with mm: places where the two differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                (a, begins), (b, _) = (_flat(batch.column(batch.schema.get_field_index(c))) for c in ("bases", "reference"))
+                mm = np.add.reduceat((a != b).astype(np.int32), begins)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mm, pa.int32())], names=[*batch.schema.names, "mm"])
+
+    return compared.mapInArrow(run, T.StructType([*compared.schema.fields, T.StructField("mm", T.IntegerType())]))
 
 
 def place_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01, longest: int = 512, most_seed: int = 24) -> DataFrame:
@@ -68,8 +85,8 @@ def place_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01,
     lengths = sorted(r[0] for r in seeds.select("k").distinct().collect())  # at most most_seed
     index = kmers(contigs, lengths or [most_seed], STEP)
     candidates = seeds.join(index, ["k", "kmer"]).select("read_id", "strand", "rname", (F.col("pos") - F.col("offset")).alias("pos"), "bases", "budget").where("pos >= 1").distinct()
-    compared = _against(candidates, contigs, longest).where("length(reference) = length(bases)").withColumn("mm", mismatches(F.col("bases"), F.col("reference")))
-    return compared.where("mm <= budget").select("read_id", "strand", "rname", "pos", "mm")
+    compared = _against(candidates, contigs, longest).where("octet_length(reference) = octet_length(bases)")
+    return with_mismatches(compared).where("mm <= budget").select("read_id", "strand", "rname", "pos", "mm")
 
 
 def _best_of(hits: DataFrame, cost: str) -> DataFrame:

@@ -19,14 +19,22 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return body.select("tid", "rname", seq.alias("seq")).select("tid", "rname", F.length("seq").cast("long").alias("length"), "seq")
 
 
-def windows(contigs: DataFrame, step: int = 65_536, overlap: int = 1024) -> DataFrame:
-    """rname, window, start (from 1), bases: contigs in overlapping pieces, so that no task holds a whole contig."""
-    at = F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(seq) - 1) div {step} as int)")))
-    cut = contigs.where(F.length("seq") > 0).select("rname", at.alias("window"), "seq")
-    return cut.select("rname", "window", (F.col("window").cast("long") * step + 1).alias("start"), F.expr(f"substring(seq, window * {step} + 1, {step + overlap})").alias("bases"))
-
-
-def kmers(contigs: DataFrame, lengths: list[int], step: int = 65_536) -> DataFrame:
+def windows(contigs: DataFrame, step: int = 1024, overlap: int = 1024) -> DataFrame:
+    """rname, window, start (from 1), bases: contigs in overlapping pieces, so that no task holds a whole contig.
+
+    A place in a string is found by walking to it, so contigs are cut in three rounds, each into 64 parts at most of
+    the round before, and the walks stay short.
+    """
+    cut = contigs.where(F.length("seq") > 0).select("rname", F.lit(0).cast("long").alias("at"), F.col("seq").alias("bases"))
+    for size, most in ((step * 4096, 1 << 31), (step * 64, step * 4096), (step, step * 64)):
+        parts = F.explode(F.expr(f"sequence(0, cast((least(length(bases), {most}) - 1) div {size} as int))"))
+        cut = cut.select("rname", "at", "bases", parts.alias("part")).select(
+            "rname", F.expr(f"at + cast(part as bigint) * {size}").alias("at"), F.expr(f"substring(bases, part * {size} + 1, {size + overlap})").alias("bases")
+        )
+    return cut.select("rname", F.expr(f"cast(at div {step} as int)").alias("window"), (F.col("at") + 1).alias("start"), "bases")
+
+
+def kmers(contigs: DataFrame, lengths: list[int], step: int = 1024) -> DataFrame:
     """k, kmer, rname, pos: where the reference has each k-mer of each length asked for."""
     cut = windows(contigs, step, max(lengths, default=1) - 1)
     each = cut.select("rname", "start", "bases", F.explode(F.array(*[F.lit(k) for k in lengths])).alias("k"))
