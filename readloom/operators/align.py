@@ -41,8 +41,9 @@ def _budgets(allowed: float, longest: int) -> Column:
 
 
 def _strands(reads: DataFrame) -> DataFrame:
+    """Both strands of reads, dealt out by read: a compressed file comes as one partition, however large it is."""
     both = F.explode(F.array(F.struct(F.lit(0).alias("strand"), F.col("seq").alias("bases")), F.struct(F.lit(16).alias("strand"), reverse_complement(F.col("seq")).alias("bases"))))
-    return reads.select("read_id", "seq", both.alias("b")).select("read_id", F.col("b.strand").alias("strand"), F.col("b.bases").alias("bases"))
+    return reads.select("read_id", "seq").repartition("read_id").select("read_id", "seq", both.alias("b")).select("read_id", F.col("b.strand").alias("strand"), F.col("b.bases").alias("bases"))
 
 
 def _against(candidates: DataFrame, contigs: DataFrame, longest: int) -> DataFrame:
