@@ -112,7 +112,7 @@ def recognise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     made = ("known_sentences", "license", "licenses", "lines_", "joined_", text_col)
     rest = [F.col(c) for c in docs.columns if c not in made]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    may = F.lower(text).rlike("|".join(HINTS).replace(" ", r"[\x09-\x0D\x20]"))
+    may = F.lower(text).rlike("|".join(HINTS).replace(" ", "[^a-z0-9]+"))
 
     def ids(wrapped: bool) -> Column:
         return F.when(may, identifiers(sentences(text, wrapped))).otherwise(F.array().cast("array<int>"))

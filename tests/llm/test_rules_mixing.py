@@ -64,6 +64,15 @@ def test_licences(spark):
     assert licenses.recognise(documents(spark)).count() == len(rows()) and licenses.recognise(empty(spark)).count() == 0
 
 
+def test_licence_hints_see_what_sentences_see(spark):
+    cases = {
+        "All  rights reserved": "32", "ALL-RIGHTS RESERVED": "32", "All\r\nrights reserved": "32", "All\u00a0rights reserved": "32",
+        "This is free and unencumbered software released into the public\n * domain.": "30", "This work is dedicated to the public--domain under CC0 1.0": "31",
+    }
+    found = licenses.recognise(spark.createDataFrame([(t,) for t in cases], "text string").withColumn("doc_id", F.col("text"))).collect()
+    assert {r["doc_id"]: r["known_sentences"] for r in found} == cases and all(r["license"] for r in found)
+
+
 def plain_targets(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
