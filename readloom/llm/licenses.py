@@ -83,6 +83,11 @@ RULES = (
 HINTS = ("licen", "permi", "redistribut", "warranty", "contributors", "public domain", "all rights")
 
 _END = r"[.!?]+([\x09-\x0D\x20]|\z)"
+#: A list's mark: a number, a letter or a small Roman number.
+_MARK = r"(?:[0-9]{1,3}|[ivx]{1,4}|[a-z])"
+#: Ends in notices: also colons at line ends (not within "free software: you can"), those before a list's mark, and
+#: "(the License);".
+_NOTICE_END = r"[.!?]+(?:[\x09-\x0D\x20]|\z)|(?<!software):(?=[\x09\x20]*\n)|[:;](?=[\x09-\x0D\x20]+\(?" + _MARK + r"[.)][\x09-\x0D\x20])|(?<=\));(?=[\x09-\x0D\x20])"
 
 
 def sentences(text: Column, wrapped: bool) -> Column:
@@ -95,6 +100,18 @@ def sentences(text: Column, wrapped: bool) -> Column:
     return F.filter(F.transform(F.split(t, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
+def notice_sentences(text: Column) -> Column:
+    """Normalised sentences of a notice as it is published: comment leaders and bullets at line starts count as blank,
+    lines are wrapped, numbers and letters of lists aren't part of a sentence nor one of their own, and the stop in
+    "v. 2.0" ends none."""
+    t = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), r"(?m)^[^a-z0-9\n]+", "")
+    t = F.regexp_replace(t, r"\b(v|ver)\.[\x09-\x0D\x20]+(?=[0-9])", "$1 ")
+    t = F.regexp_replace(F.regexp_replace(t, r"\n{2,}", ". "), _NOTICE_END, "\u0000")
+    t = F.regexp_replace(F.translate(t, "\n\u0000", " \n"), r"(?m)^[^a-z0-9\n]*" + _MARK + r"[\x09\x20]*[^a-z0-9\x09\x20\n][^a-z0-9\n]*", "")
+    parts = F.transform(F.split(F.regexp_replace(t, r"[^a-z0-9\n]+", " "), "\n"), lambda s: F.trim(s))
+    return F.filter(parts, lambda s: (s != "") & ~s.rlike("^" + _MARK + "$"))
+
+
 def identifiers(parts: Column, known: dict[int, str] = SENTENCES) -> Column:
     """The identifier of each sentence, 0 for others."""
     table = F.create_map(*chain.from_iterable((F.lit(s), F.lit(i)) for i, s in known.items()))
@@ -102,33 +119,35 @@ def identifiers(parts: Column, known: dict[int, str] = SENTENCES) -> Column:
 
 
 def recognise(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without text_col, and known_sentences (identifiers in order, of lines and, where it has more, of wrapped
-    text), license (of the first rule that matches) and licenses (of all, in the order of rules), null if none match.
+    """docs without text_col, and known_sentences (identifiers in order, of lines and, where they have more, of wrapped
+    text or the notice), license (of the first rule that matches) and licenses (of all, in the order of rules), null if
+    none match.
 
-    Texts are read both with line ends as sentence ends and with lines wrapped, and a rule matches a run of
-    consecutive sentences in either. Null and empty text match nothing; repeated rows match alike; columns of the
+    Texts are read with line ends as sentence ends, with lines wrapped, and as notices, and a rule matches a run of
+    consecutive sentences in any. Null and empty text match nothing; repeated rows match alike; columns of the
     names above are replaced and others pass through; an empty table gives an empty table.
     """
-    made = ("known_sentences", "license", "licenses", "lines_", "joined_", text_col)
+    made = ("known_sentences", "license", "licenses", "lines_", "joined_", "notice_", text_col)
     rest = [F.col(c) for c in docs.columns if c not in made]
     text = F.coalesce(F.col(text_col), F.lit(""))
     may = F.lower(text).rlike("|".join(HINTS).replace(" ", "[^a-z0-9]+"))
 
-    def ids(wrapped: bool) -> Column:
-        return F.when(may, identifiers(sentences(text, wrapped))).otherwise(F.array().cast("array<int>"))
+    def ids(parts: Column) -> Column:
+        return F.when(may, identifiers(parts)).otherwise(F.array().cast("array<int>"))
 
     seen = lambda c: F.concat(F.lit(","), F.array_join(F.col(c), ","), F.lit(","))
     some = lambda c: F.filter(F.col(c), lambda i: i > 0)
 
     def matches(run: tuple[int, ...]) -> Column:
         text = "," + ",".join(map(str, run)) + ","
-        return seen("lines_").contains(text) | seen("joined_").contains(text)
+        return seen("lines_").contains(text) | seen("joined_").contains(text) | seen("notice_").contains(text)
 
-    found = docs.select(*rest, ids(False).alias("lines_"), ids(True).alias("joined_"))
+    found = docs.select(*rest, ids(sentences(text, False)).alias("lines_"), ids(sentences(text, True)).alias("joined_"), ids(notice_sentences(text)).alias("notice_"))
+    more = lambda a, b: F.when(F.size(b) > F.size(a), b).otherwise(a)
     hits = F.array_distinct(F.array_compact(F.array(*[F.when(matches(run), F.lit(name)) for name, run in RULES])))
     return found.select(
         *rest,
-        F.array_join(F.when(F.size(some("joined_")) > F.size(some("lines_")), some("joined_")).otherwise(some("lines_")), ",").alias("known_sentences"),
+        F.array_join(more(more(some("lines_"), some("joined_")), some("notice_")), ",").alias("known_sentences"),
         F.try_element_at(hits, F.lit(1)).alias("license"),
         F.when(F.size(hits) > 0, F.array_join(hits, ",")).alias("licenses"),
     )

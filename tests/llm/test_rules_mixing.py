@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -73,6 +74,64 @@ def test_licence_hints_see_what_sentences_see(spark):
     assert {r["doc_id"]: r["known_sentences"] for r in found} == cases and all(r["license"] for r in found)
 
 
+# The notices as they are published, each with the licence that it is of.
+NOTICES = {
+    "MIT": """Copyright (c) 2020 A B
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "BSD-3-Clause": """Copyright (c) 2020, A B
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
+    "GPL-3.0-or-later": """A program
+Copyright (C) 2020 A B
+
+This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "Apache-2.0": """Copyright 2020 A B
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "ISC": """Copyright (c) 2020 A B
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "CC0-1.0": "This work is dedicated to the public domain under CC0 1.0.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+}
+NOTICES["BSD-2-Clause"] = NOTICES["BSD-3-Clause"].split("\n\n3.")[0]
+NOTICES["GPL-2.0-or-later"] = NOTICES["GPL-3.0-or-later"].replace("software:", "software;").replace("version 3", "version 2")
+NOTICES["LGPL-2.1-or-later"] = NOTICES["GPL-2.0-or-later"].replace("This program is free", "This library is free").replace("General", "Lesser General").replace("version 2", "version 2.1")
+
+
+def test_licences_as_published(spark):
+    cases = []
+    for name, notice in NOTICES.items():
+        for width in (40, 68, 76, 10_000):
+            for lead in ("", "# ", " * ", "// "):
+                lines = [line for part in notice.split("\n") for line in textwrap.wrap(part, width) or [""]]
+                cases += [(name, "\n".join((lead + line).rstrip() for line in lines)), (name, "\r\n".join(lead + line for line in lines))]
+        cases += [(name, " ".join(notice.split())) for _ in [0] if name.startswith("BSD")]
+    for name in ("BSD-2-Clause", "BSD-3-Clause"):
+        for mark in (r"(\1) ", r"\1) ", "* ", "- "):
+            cases += [(name, re.sub(r"(?m)^(\d)\. ", mark, NOTICES[name])), (name, re.sub(r"(?m)^(\d)\. ", mark, NOTICES[name]).replace("\n\n", "\n"))]
+        cases += [(name, NOTICES[name].replace("\n\n", "\n * "))]
+    found = licenses.recognise(spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(cases)], "doc_id long, name string, text string")).collect()
+    assert [(cases[r["doc_id"]], r["license"]) for r in found if r["license"] != r["name"]] == []
+    assert len(found) == len(cases)
+
+
 def plain_targets(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
