@@ -6,7 +6,7 @@ returns a DataFrame that is stored before the next one reads it. All but the las
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.llm import quality_mil
@@ -24,26 +24,27 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality_mil.predict(docs, model, keep_text=True).where("predicted = 1").select(*docs.columns)
 
 
-def _identity() -> Column:
-    """doc_id, or for null a number above usual ids from the text."""
-    made = F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(1 << 61)) + F.lit(1 << 62)
-    return F.coalesce(F.col("doc_id"), made)
+def _row_key() -> Column:
+    """Tells rows apart by doc_id and text, as sources may share ids; rows without an id come last."""
+    return F.struct(F.col("doc_id").isNull().alias("missing"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), F.xxhash64("text").alias("content"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near-duplicates, one row of it if there are several.
+    """Keeps one row of each group of near-duplicates: of the smallest id, then of the smallest hash of the text.
 
-    What goes is joined, as it is less than what stays; its table is stored first, so it is broadcast exactly when
-    its size is under Spark's limit.
+    Rows are told apart by id and text, so an id that different texts share costs none of them. What goes is joined, as
+    it is less than what stays; its table is stored first, so it is broadcast exactly when its size is under Spark's
+    limit. Of rows of one id and text the first by all columns stays, by an aggregate over those rows alone.
     """
-    found = stage_table(near_duplicates(docs.select(_identity().alias("doc_id"), "text")), "pipeline-near")
-    gone = stage_table(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")), "pipeline-gone")
-    kept = docs.join(gone, _identity() == F.col("gone"), "left_anti")
-    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+    found = stage_table(near_duplicates(docs.select(_row_key().alias("doc_id"), "text")), "pipeline-near")
+    gone = stage_table(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_key")).distinct(), "pipeline-gone")
+    kept = docs.join(gone, _row_key() == F.col("gone_key"), "left_anti")
+    same = stage_table(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("same_key")).count().where("count > 1").select("same_key"), "pipeline-same")
+    if same.isEmpty():
         return kept
-    first = Window.partitionBy("identity").orderBy("content")
-    numbered = kept.withColumn("identity", _identity()).withColumn("content", F.xxhash64(*docs.columns)).withColumn("place", F.row_number().over(first))
-    return numbered.where("place = 1").select(*docs.columns)
+    several = kept.join(same, _row_key() == F.col("same_key"), "left_semi")
+    first = several.groupBy(_row_key().alias("same_key")).agg(F.min(F.struct(*docs.columns)).alias("first_row")).select("first_row.*")
+    return kept.join(same, _row_key() == F.col("same_key"), "left_anti").unionByName(first)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from odd import documents, empty, rows, words
@@ -146,6 +147,24 @@ def test_near_duplicates_of_odd_documents(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    found = corpus_pipeline.simhash_near_dedup(spark, documents(spark, extra=False), "").collect()
+    clean = [(7, words(90, 11), "en", "s1", 1), (7, words(90, 12), "de", "s0", 2), (7, words(90, 12), "de", "s0", 1)]
+    every = [*rows(), *clean]
+    more = spark.createDataFrame(clean, documents(spark, extra=False).schema)
+    for out, source in ((found, rows()), (corpus_pipeline.simhash_near_dedup(spark, documents(spark, extra=False).unionByName(more), "").collect(), every)):
+        prints = sorted({simhash.fingerprint(r[1]) for r in source})
+        root = {p: p for p in prints} | plain_components([(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 2])
+        least = {}
+        for r in source:
+            k = root[simhash.fingerprint(r[1])]
+            least[k] = min(least.get(k, (True, 0)), (r[0] is None, r[0] or 0))
+        assert Counter((root[simhash.fingerprint(r["text"])], (r["doc_id"] is None, r["doc_id"] or 0)) for r in out) == Counter(least.items())
+        assert not Counter(map(tuple, out)) - Counter(source)
+    assert (7, words(90, 9)) in [(r["doc_id"], r["text"]) for r in found]
+    assert {clean[0], clean[2]} <= set(map(tuple, out)) and clean[1] not in set(map(tuple, out))
+
+
 def test_bitmap(spark):
     keys = spark.range(1000).select(F.xxhash64("id").alias("k"))
     bits = np.frombuffer(key_bitmap(keys, "k", 1 << 16), np.int64)
