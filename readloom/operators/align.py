@@ -8,7 +8,7 @@ their ends clipped where that scores better.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import exp
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 from readloom.functions.alignment import reverse_complement
 from readloom.sources.reference import kmers, windows
 
-#: Bases of a contig in one piece, besides the overlap: every candidate is joined with one.
+#: Bases of a contig in one piece, besides the overlap of the longest read: every candidate is joined with one piece.
 STEP = 1024
+#: Pieces grow with reads longer than STEP, so that a contig's pieces together have twice its bases; up to this.
+MOST_STEP = 1 << 18
 
 
 def mismatch_budget(length: int, allowed: float, error: float = 0.02) -> int:
@@ -28,16 +30,26 @@ def mismatch_budget(length: int, allowed: float, error: float = 0.02) -> int:
     length exceeds with a probability under it, at `error` errors a base."""
     if allowed == 0 or allowed >= 1:
         return int(allowed)
-    mean, term, below, k = length * error, exp(-length * error), exp(-length * error), 0
+    mean, term, below, k = length * error, -length * error, exp(-length * error), 0
     while k == 0 or 1 - below >= allowed:
         k += 1
-        term *= mean / k
-        below += term
+        term += log(mean / k)  # as a logarithm, which long reads don't take to 0
+        below += exp(term)
     return k
 
 
-def _budgets(allowed: float, longest: int) -> Column:
-    return F.element_at(F.array(*[F.lit(mismatch_budget(n, allowed)) for n in range(1, longest + 1)]), F.least(F.length("seq"), F.lit(longest)))
+def read_lengths(reads: DataFrame) -> list[int]:
+    """The different lengths of reads (seq) in order, without 0: as many rows as the longest read has bases at most."""
+    return sorted(r[0] for r in reads.select(F.length("seq").alias("n")).where("n > 0").distinct().collect())
+
+
+def _budgets(budgets: dict[int, int]) -> Column:
+    """The budget of a read by its length: budgets never fall with the length, so each needs the first that has it."""
+    first: dict[int, int] = {}
+    for n, b in sorted(budgets.items()):
+        first.setdefault(b, n)
+    reached = F.filter(F.array(*[F.lit(n) for n in first.values()]), lambda n: n <= F.length("seq"))
+    return F.element_at(F.array(*[F.lit(b) for b in first]), F.size(reached))
 
 
 def _strands(reads: DataFrame) -> DataFrame:
@@ -48,9 +60,10 @@ def _strands(reads: DataFrame) -> DataFrame:
 
 def _against(candidates: DataFrame, contigs: DataFrame, longest: int) -> DataFrame:
     """candidates (rname, pos, bases) with reference: the bases of the contig under them, as many as it has. Contigs
-    come in pieces, which are joined by place."""
-    pieces = windows(contigs, STEP, longest).select("rname", "window", F.col("start").alias("piece_start"), F.col("bases").alias("piece"))
-    at = candidates.withColumn("window", F.expr(f"cast((greatest(pos, 1) - 1) div {STEP} as int)"))
+    come in pieces, which are joined by place and overlap by the bases of the longest candidate."""
+    size = min(max(STEP, longest), MOST_STEP)
+    pieces = windows(contigs, size, longest).select("rname", "window", F.col("start").alias("piece_start"), F.col("bases").alias("piece"))
+    at = candidates.withColumn("window", F.expr(f"cast((greatest(pos, 1) - 1) div {size} as int)"))
     joined = at.join(pieces, ["rname", "window"])
     return joined.withColumn("reference", F.expr("substring(piece, cast(greatest(pos, 1) - piece_start + 1 as int), cast(length(bases) - greatest(1 - pos, 0) as int))")).drop("piece", "piece_start", "window")
 
@@ -75,18 +88,18 @@ def with_mismatches(compared: DataFrame) -> DataFrame:
     return compared.mapInArrow(run, T.StructType([*compared.schema.fields, T.StructField("mm", T.IntegerType())]))
 
 
-def place_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01, longest: int = 512, most_seed: int = 24) -> DataFrame:
+def place_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01, most_seed: int = 24) -> DataFrame:
     """read_id, strand, rname, pos, mm of every end-to-end placement of reads (read_id, seq) within their budget."""
-    budget = _budgets(mismatch, longest)
-    asked = _strands(reads.where(F.length("seq") > 0)).withColumn("seq", F.col("bases")).withColumn("budget", budget)
+    budgets = {n: mismatch_budget(n, mismatch) for n in read_lengths(reads) or [1]}
+    asked = _strands(reads.where(F.length("seq") > 0)).withColumn("seq", F.col("bases")).withColumn("budget", _budgets(budgets))
     step = F.expr("length(bases) div (budget + 1)")
     seeds = asked.withColumn("step", step.cast("int")).where("step > 0").withColumn("k", F.least(F.col("step"), F.lit(most_seed)))
     seeds = seeds.select("read_id", "strand", "bases", "budget", "k", F.explode(F.transform(F.sequence(F.lit(0), F.col("budget")), lambda i: i * F.col("step"))).alias("offset"))
     seeds = seeds.withColumn("kmer", F.expr("substring(bases, offset + 1, k)"))
-    lengths = sorted(r[0] for r in seeds.select("k").distinct().collect())  # at most most_seed
+    lengths = sorted({min(n // (b + 1), most_seed) for n, b in budgets.items()} - {0})
     index = kmers(contigs, lengths or [most_seed], STEP)
     candidates = seeds.join(index, ["k", "kmer"]).select("read_id", "strand", "rname", (F.col("pos") - F.col("offset")).alias("pos"), "bases", "budget").where("pos >= 1").distinct()
-    compared = _against(candidates, contigs, longest).where("octet_length(reference) = octet_length(bases)")
+    compared = _against(candidates, contigs, max(budgets)).where("octet_length(reference) = octet_length(bases)")
     return with_mismatches(compared).where("mm <= budget").select("read_id", "strand", "rname", "pos", "mm")
 
 
@@ -135,7 +148,7 @@ def best_segments(bases: list[str], references: list[str], lead: list[int], matc
     return out
 
 
-def align_modern(reads: DataFrame, contigs: DataFrame, seed: int = 19, stride: int = 5, least_score: int = 30, longest: int = 512) -> DataFrame:
+def align_modern(reads: DataFrame, contigs: DataFrame, seed: int = 19, stride: int = 5, least_score: int = 30) -> DataFrame:
     """Like align_ancient(), by local matches without gaps from exact seeds of `seed` bases. A placement's score is a
     base's 1 less 4 for each mismatch over its best stretch; the rest is clipped. mapq grows with the distance to the
     second score, to 60."""
@@ -144,7 +157,7 @@ def align_modern(reads: DataFrame, contigs: DataFrame, seed: int = 19, stride: i
     seeds = long.select("read_id", "strand", "bases", at.alias("offset")).withColumn("kmer", F.expr(f"substring(bases, offset + 1, {seed})"))
     index = kmers(contigs, [seed], STEP).select("kmer", "rname", "pos")
     candidates = seeds.join(index, "kmer").select("read_id", "strand", "rname", (F.col("pos") - F.col("offset")).alias("pos"), "bases").distinct()
-    compared = _against(candidates, contigs, longest).select("read_id", "strand", "rname", "pos", "bases", "reference")
+    compared = _against(candidates, contigs, max(read_lengths(reads), default=1)).select("read_id", "strand", "rname", "pos", "bases", "reference")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

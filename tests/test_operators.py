@@ -169,6 +169,26 @@ def test_alignment_finds_every_placement(spark):
     assert all(found[k]["flag"] == 4 for k in ("junk", "short", "none"))
 
 
+def test_long_reads_are_placed_wherever_they_begin(spark):
+    r = random.Random(5)
+    genome = "".join(r.choices("ACGT", k=9000))
+    contigs = spark.createDataFrame([("c", genome)], "rname string, seq string")
+    places = [(n, p) for n in (40, 600, 1700, 2600) for p in (1, 950, 1020, 1024, 1025, 2040, 3060, 6001)]
+    reads = []
+    for n, p in places:
+        s = list(genome[p - 1 : p - 1 + n])
+        for j in r.sample(range(n), min(n // 60, align.mismatch_budget(n, 0.01))):
+            s[j] = r.choice([x for x in "ACGT" if x != s[j]])
+        reads.append((f"{n}:{p}", "".join(s)))
+    df = spark.createDataFrame(reads, "read_id string, seq string")
+    found = {x["read_id"]: x for x in align.align_ancient(df, contigs).collect()}
+    assert {k: (x["pos"], x["cigar"]) for k, x in found.items()} == {f"{n}:{p}": (p, f"{n}M") for n, p in places}
+    assert align.mismatch_budget(2600, 0.01) > align.mismatch_budget(512, 0.01) and 1000 < align.mismatch_budget(50_000, 0.01) < 1200
+    whole = spark.createDataFrame([(f"{n}:{p}", genome[p - 1 : p - 1 + n]) for n, p in places], "read_id string, seq string")
+    found = {x["read_id"]: x for x in align.align_modern(whole, contigs).collect()}
+    assert {k: (x["pos"], x["cigar"]) for k, x in found.items()} == {f"{n}:{p}": (p, f"{n}M") for n, p in places}
+
+
 def test_local_alignment_clips(spark):
     genome = "".join(random.Random(4).choices("ACGT", k=500))
     contigs = spark.createDataFrame([("c", genome)], "rname string, seq string")
