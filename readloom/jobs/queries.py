@@ -266,10 +266,11 @@ R.add("read_group", lambda v: post.with_read_group(v.alignments.withColumn("tags
 
 
 def _rank(v: Views) -> DataFrame:
-    """Places in coordinate order: a prefix count of range partitions, and the place within each."""
-    placed = post.coordinate_sorted(post.mapped(v.alignments), v.contigs).select("tid", "pos", "qname", "flag")
-    per = placed.groupBy("tid", "pos").agg(F.array_sort(F.collect_list(F.struct("qname", "flag"))).alias("r"))
-    return per.select("tid", "pos", F.posexplode("r").alias("nth", "x")).select("tid", "pos", "nth", F.col("x.qname").alias("qname"))
+    """The place of each read among those of its position, from ranks in coordinate order: a prefix count of range
+    partitions, and the place within each."""
+    ranked = post.coordinate_ranks(post.coordinate_sorted(post.mapped(v.alignments), v.contigs).select("tid", "pos", "qname", "flag"))
+    first = ranked.groupBy("tid", "pos").agg(F.min("rank").alias("first"))
+    return ranked.join(first, ["tid", "pos"]).select("tid", "pos", (F.col("rank") - F.col("first")).cast("int").alias("nth"), "qname")
 
 
 R.add("coord_sort_rank", _rank, _with("alignments", "contigs", body="select tid, pos, cast(row_number() over (partition by tid, pos order by qname, flag) - 1 as int) as nth, qname from alignments join contigs using (rname) where (flag & 4) = 0"))

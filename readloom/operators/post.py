@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions import alignment as A
@@ -112,3 +112,19 @@ def coordinate_sorted(df: DataFrame, contigs: DataFrame, partitions: int | None
     keys = [F.col("tid").asc_nulls_last(), F.col("pos")]
     spread = placed.repartitionByRange(partitions, *keys) if partitions else placed.repartitionByRange(*keys)
     return spread.sortWithinPartitions(*keys, "qname", "flag")
+
+
+def coordinate_ranks(ordered: DataFrame) -> DataFrame:
+    """ordered, as coordinate_sorted() gives it, with rank: the row's place from 0 in the order of all, which is the
+    rows of earlier range partitions and its place within its own.
+
+    Rows are numbered once and kept by the executors, as a second range shuffle may draw other borders; the prefix sum
+    takes one row per partition.
+    """
+    numbered = ordered.withColumn("at", F.monotonically_increasing_id()).localCheckpoint()
+    part = F.shiftright("at", 33)
+    per = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
+    earlier = F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    before = per.select("part", F.coalesce(earlier, F.lit(0)).alias("before"))
+    place = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.join(F.broadcast(before), part == F.col("part")).select(*ordered.columns, (F.col("before") + place).alias("rank"))

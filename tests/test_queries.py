@@ -17,6 +17,19 @@ def test_query_equals_sql(spark, duck, name):
     same_rows(found, asked)
 
 
+def test_coordinate_ranks(spark, duck, monkeypatch):
+    v = reads.Views(spark, DATA)
+    asked = duck.execute(reads._with("alignments", "contigs", body="""select tid, pos, qname, row_number() over (order by tid, pos, qname, flag) - 1 as rank
+      from alignments join contigs using (rname) where (flag & 4) = 0""")).df()
+    for partitions in (1, 7):
+        ordered = reads.post.coordinate_sorted(reads.post.mapped(v.alignments), v.contigs, partitions).select("tid", "pos", "qname", "flag")
+        same_rows(reads.post.coordinate_ranks(ordered).drop("flag").toPandas(), asked)
+    asked = duck.execute(reads.oracle_sql()["coord_sort_rank"]).df()
+    monkeypatch.setattr(reads.post, "coordinate_sorted", lambda df, contigs: df.join(contigs.select("rname", "tid"), "rname", "left").repartition(5))
+    with pytest.raises(AssertionError):  # the query stands on the order
+        same_rows(reads.queries()["coord_sort_rank"](spark, DATA).toPandas(), asked)
+
+
 def test_entry_has_the_summary(spark):
     entry = importlib.import_module("__spark_entry__")
     row = entry.entry(spark).first()
