@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,12 +40,18 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Has the session send rows to Python in batches of at most `rows` from now on: rows that hold whole texts are long,
-    and both ends keep a batch in memory. A lower setting stays."""
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While open, the session sends rows to Python in batches of at most `rows`, as rows that hold whole texts are
+    long and both ends keep a batch in memory. Holds for what runs inside; afterwards the setting is as it was."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
         spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def word_count(text: Column) -> Column:

@@ -42,7 +42,7 @@ def repeated_texts(seed):
 def test_suffix_dedup_equals_brute_force(spark, seed, limit):
     texts = repeated_texts(seed)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    found = suffix_dedup.remove_repeats(df, length=40, anchor=16, group_limit=limit, bits=1 << 12, kept="sha256").collect()
+    found = suffix_dedup.remove_repeats(df, length=40, anchor=16, together=limit, bits=1 << 12, kept="sha256").collect()
     asked = plain_repeats([t.encode() for t in texts], 40)
     assert len(found) == len(texts)
     for r in found:
@@ -65,6 +65,41 @@ def test_long_documents_come_in_parts(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, parts))
 
 
+def test_repeated_rows_cost_in_proportion(spark):
+    """2000 rows of one id and text, 2000 of one text under ids of their own, and null ids."""
+    from time import time
+
+    one, two, three = words(600, 21), words(600, 22), words(400, 23)
+    data = [(1, one)] * 2000 + [(i, two) for i in range(2, 2002)] + [(None, three)] * 300 + [(1, words(100, 24)), (1, one[:400] + words(60, 25))]
+    began = time()
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string").repartition(4), kept="text")
+    per = Counter((r["n_bytes"], r["n_removed"], r["n_spans"]) for r in found.select("n_bytes", "n_removed", "n_spans").collect())
+    n = lambda t: len(t.encode())
+    last = data[-1][1]
+    assert per == {(n(one), n(one), 1): 2000, (n(two), n(two), 1): 2000, (n(three), n(three), 1): 300, (n(data[-2][1]), 0, 0): 1, (n(last), 400, 1): 1}
+    assert time() - began < 60
+
+
+def test_a_hot_anchor_is_split(spark):
+    """One anchor in 400 different surroundings, of which some share up to 60 bytes on one side or both."""
+    r = random.Random(8)
+    letters = lambda n: "".join(r.choices("abcdefgh", k=n))
+    core, left, right = letters(30), [letters(30) for _ in range(5)], [letters(30) for _ in range(5)]
+    texts = [letters(r.randint(0, 9)) + r.choice(left)[r.randint(0, 29) :] + core + r.choice(right)[: r.randint(0, 30)] + letters(r.randint(0, 9)) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    asked = plain_repeats([t.encode() for t in texts], 40)
+    for together in (2, 64):
+        found = suffix_dedup.remove_repeats(df, length=40, anchor=16, together=together, bits=1 << 12, kept="sha256").collect()
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found} == dict(enumerate(asked))
+
+
+def test_the_session_is_left_as_it_was(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    suffix_dedup.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    assert spark.conf.get(name) == before
+
+
 def test_deep_shallow_order():
     r = random.Random(6)
     stem = bytes(r.choices(b"ab", k=90))
