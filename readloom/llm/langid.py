@@ -1,12 +1,14 @@
 """Language identification by character language models with interpolated Kneser-Ney smoothing.
 
-There is a model per language over the letters of words, each word between two edges. All models share sorted arrays
+There is a model per language over the letters of words, each word between two edges, from counts over all texts to
+learn from: words and n-grams are counted on Spark, and only the finished tables are bounded. All models share sorted arrays
 of n-gram hashes, one per order, beside which stand the smoothed probabilities of every language: a seen n-gram takes
 one search, an unseen one a search of its context's back-off weights and the next shorter n-gram.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import stage_table
+
 _EDGE = 2  # code point of word edges
 
 
@@ -40,12 +44,6 @@ def _grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list[n
     return word, place, hashes
 
 
-def _context(words: list[str], order: int) -> list[np.ndarray]:
-    """Per k, the hash of the k symbols before each place (for k = 0, a constant)."""
-    _, _, hashes = _grams(words, order)
-    return [np.zeros(len(hashes[0]), np.uint64)] + [np.concatenate([[np.uint64(0)], h[:-1]]) for h in hashes[:-1]]
-
-
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.minimum(np.searchsorted(table, keys), max(0, len(table) - 1))
     return at, (table[at] == keys if len(table) else np.zeros(len(keys), bool))
@@ -61,7 +59,11 @@ class Model:
     backs: list[np.ndarray]  # and the languages' log2 back-off weights
     uniform: float
     temperature: float = 1.0
-    limit: float = float("inf")  # of the cross-entropy that a known language stays under
+    limits: np.ndarray | None = None  # per language the cross-entropy that its texts stay under
+
+    def __post_init__(self) -> None:
+        if self.limits is None:
+            self.limits = np.full(len(self.languages), np.inf)
 
     def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word, place and the languages' log2 probabilities of each symbol of words; place 0 is the opening edge."""
@@ -91,50 +93,123 @@ class Model:
         return out
 
 
-def fit(counts: dict[str, dict[str, int]], order: int = 5) -> Model:
-    """A model from word counts per language. Highest-order n-grams and those at a word's start count as often as
-    they occur, others by how many symbols come before them; a discount per order from its counts of one and two."""
-    languages = sorted(counts)
-    symbols = len(set("".join("".join(c) for c in counts.values()))) + 1
-    tables: list[list[dict]] = [[] for _ in range(order)]
-    for language in languages:
-        words = list(counts[language])
-        times = np.fromiter(counts[language].values(), np.int64, len(words))
-        word, place, hashes = _grams(words, order)
-        before = _context(words, order)
-        longer: np.ndarray | None = None
-        for k in range(order, 0, -1):
-            at = np.flatnonzero((place > 0) & (place + 1 >= k))
-            gram, first, back = np.unique(hashes[k - 1][at], return_index=True, return_inverse=True)
-            raw = np.bincount(back, weights=times[word[at]], minlength=len(gram))
-            if k < order:
-                opens = place[at[first]] + 1 == k  # these begin at the word's edge, and nothing comes before
-                _, one = np.unique(longer, return_index=True)
-                ends = np.searchsorted(gram, hashes[k - 1][longer_at[one]])
-                raw = np.where(opens, raw, np.bincount(ends, minlength=len(gram)))
-            longer, longer_at = hashes[k - 1][at], at
-            ones, twos = (raw == 1).sum(), (raw == 2).sum()
+def count_words(texts: DataFrame, most: int = 200_000) -> DataFrame:
+    """lang, word, n: how often each word, of letters, stands in texts (lang, text). Counted per task before the
+    shuffle; a task hands on what it has whenever it holds `most` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, Counter] = {}
+
+        def flat() -> pa.RecordBatch:
+            rows = [(lang, w, n) for lang, c in found.items() for w, n in c.items()]
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            kinds = (pa.string(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "word", "n"])
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                tokens = Counter((text.as_py() or "").lower().split())
+                own = found.setdefault(lang.as_py(), Counter())
+                for token, n in tokens.items():
+                    if w := letters(token):
+                        own[w] += n
+                if sum(map(len, found.values())) > most:
+                    yield flat()
+                    found.clear()
+        yield flat()
+
+    return texts.select("lang", "text").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def count_grams(words: DataFrame, order: int) -> DataFrame:
+    """lang, k, gram, context, shorter, n, raw of the n-grams of words (lang, word, n), by hashes.
+
+    n: how often; raw: the count that Kneser-Ney smoothing goes by. N-grams of the highest order and those at a word's
+    start count as often as they occur, others by how many symbols come before them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = batch.column(0).to_numpy(zero_copy_only=False)
+            for name in sorted(set(lang.tolist())):
+                own = batch.filter(pa.array(lang == name))
+                times = own.column(2).to_numpy()
+                word, place, hashes = _grams(own.column(1).to_pylist(), order)
+                before = [np.zeros(len(word), np.uint64)] + [np.concatenate([[np.uint64(0)], h[:-1]]) for h in hashes[:-1]]
+                for k in range(1, order + 1):
+                    at = np.flatnonzero((place > 0) & (place + 1 >= k))
+                    gram, first, back = np.unique(hashes[k - 1][at], return_index=True, return_inverse=True)
+                    first = at[first]
+                    shorter = hashes[k - 2][first] if k > 1 else np.zeros(len(gram), np.uint64)
+                    n = np.bincount(back, weights=times[word[at]], minlength=len(gram)).astype(np.int64)
+                    longs = [x.view(np.int64) for x in (gram, before[k - 1][first], shorter)]
+                    columns = [pa.array([name] * len(gram), pa.string()), pa.array(np.full(len(gram), k, np.int32))]
+                    columns += [*map(pa.array, longs), pa.array(place[first] + 1 == k), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "gram", "context", "shorter", "opens", "n"])
+
+    schema = "lang string, k int, gram long, context long, shorter long, opens boolean, n long"
+    each = words.select("lang", "word", "n").mapInArrow(run, schema)
+    same = [F.any_value(c).alias(c) for c in ("context", "shorter", "opens")]
+    grams = stage_table(each.groupBy("lang", "k", "gram").agg(*same, F.sum("n").alias("n")), "langid-grams")
+    more = grams.where("k > 1").groupBy("lang", (F.col("k") - 1).alias("k"), F.col("shorter").alias("gram")).agg(F.count("*").alias("kinds"))
+    raw = F.when(F.col("opens") | (F.col("k") == order), F.col("n")).otherwise(F.col("kinds"))
+    return grams.join(more, ["lang", "k", "gram"], "left").select("lang", "k", "gram", "context", "shorter", "n", raw.alias("raw"))
+
+
+def fit(words: DataFrame, order: int = 5, most_grams: int = 100_000) -> Model | None:
+    """A model from all words (lang, word, n); None without any.
+
+    Counts, discounts (one per language and order, from its counts of one and two) and sums of contexts are over all
+    n-grams. The finished tables hold the most frequent of a language and order, about most_grams at most, by a least
+    number of occurrences that never falls with the order; what a context's other n-grams had goes to its shorter ones.
+    """
+    grams = stage_table(count_grams(words, order), "langid-counts")
+    bucket = F.floor(F.log2("n") * 8).cast("int")
+    shape = grams.groupBy("lang", "k", bucket.alias("bucket")).agg(F.count("*").alias("grams"), F.count_if("raw = 1").alias("ones"), F.count_if("raw = 2").alias("twos")).collect()
+    if not shape:
+        return None
+    symbols = grams.where("k = 1").select("gram").distinct().count()
+    languages = sorted({r["lang"] for r in shape})
+    settings = []
+    for lang in languages:
+        least = 0
+        for k in range(1, order + 1):
+            own = sorted((r for r in shape if r["lang"] == lang and r["k"] == k), key=lambda r: -r["bucket"])
+            ones, twos = sum(r["ones"] for r in own), sum(r["twos"] for r in own)
             discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones + twos else 0.5
-            context, of = np.unique(before[k - 1][at[first]], return_inverse=True)
-            totals, kinds = np.bincount(of, weights=raw), np.bincount(of)
-            tables[k - 1].append({"gram": gram, "p": np.maximum(raw - discount, 0) / totals[of], "context": context, "back": discount * kinds / totals,
-                                  "of": before[k - 1][at[first]], "shorter": hashes[k - 2][at[first]] if k > 1 else None})
+            many = 0
+            for r in own:
+                many += r["grams"]
+                if many > most_grams:
+                    least = max(least, r["bucket"] + 1)
+                    break
+            settings.append((lang, k, discount, least, languages.index(lang)))
+    per = F.broadcast(grams.sparkSession.createDataFrame(settings, "lang string, k int, discount double, least int, at int"))  # a row per language and order
+    totals = grams.groupBy("lang", "k", "context").agg(F.sum("raw").alias("total"))
+    kept = grams.join(per, ["lang", "k"]).where(bucket >= F.col("least")).join(totals, ["lang", "k", "context"])
+    kept = kept.select("k", "at", "gram", "context", "shorter", (F.greatest(F.col("raw") - F.col("discount"), F.lit(0.0)) / F.col("total")).alias("p"))
+    return _assembled(kept.toArrow(), languages, order, symbols)
+
+
+def _assembled(kept: pa.Table, languages: list[str], order: int, symbols: int) -> Model:
+    """The sorted arrays of a model from k, at (the language's place), gram, context, shorter and p, the n-gram's own
+    share of its context."""
+    column = {c: kept.column(c).to_numpy() for c in kept.column_names}
+    column |= {c: column[c].view(np.uint64) for c in ("gram", "context", "shorter")}
     grams, logs, contexts, backs = [], [], [], []
     for k in range(1, order + 1):
-        own = tables[k - 1]
-        gram, first = np.unique(np.concatenate([t["gram"] for t in own]), return_index=True)
-        context = np.unique(np.concatenate([t["context"] for t in own]))
-        of = np.concatenate([t["of"] for t in own])[first]
-        weight = np.ones((len(context), len(languages)))
-        p = np.zeros((len(gram), len(languages)))
-        for i, t in enumerate(own):
-            weight[np.searchsorted(context, t["context"]), i] = t["back"]
-            p[np.searchsorted(gram, t["gram"]), i] = t["p"]
+        own = {c: x[column["k"] == k] for c, x in column.items()}
+        gram, first, row = np.unique(own["gram"], return_index=True, return_inverse=True)
+        context, of = np.unique(own["context"], return_inverse=True)
+        weight, p = np.ones((len(context), len(languages))), np.zeros((len(gram), len(languages)))
+        np.subtract.at(weight, (of, own["at"]), own["p"])
+        weight = np.maximum(weight, 1e-9)
+        p[row, own["at"]] = own["p"]
         if k == 1:
             lower = np.full((len(gram), len(languages)), 1 / symbols)
         else:
-            lower = np.exp2(logs[-1][np.searchsorted(grams[-1], np.concatenate([t["shorter"] for t in own])[first])].astype(np.float64))
-        p += weight[np.searchsorted(context, of)] * lower
+            lower = np.exp2(logs[-1][np.searchsorted(grams[-1], own["shorter"][first])].astype(np.float64))
+        p += weight[of[first]] * lower
         grams.append(gram), logs.append(np.log2(p).astype(np.float32))
         contexts.append(context), backs.append(np.log2(weight).astype(np.float32))
     return Model(languages, order, grams, logs, contexts, backs, float(-np.log2(symbols)))
@@ -178,40 +253,27 @@ def _posterior(bits: np.ndarray, temperature: float) -> np.ndarray:
     return weight / weight.sum(axis=-1, keepdims=True)
 
 
-def train(docs: DataFrame, learn: Column, per_language: int = 400, model_words: int = 100_000, order: int = 5, accepted: float = 0.999, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model from the rows of docs where learn holds and lang isn't null; None if there is none.
+def train(
+    docs: DataFrame, learn: Column, calibrate: int = 400, order: int = 5, most_grams: int = 100_000, accepted: float = 0.99, margin: float = 1.1,
+    seed: int = 11, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+) -> Model | None:
+    """A model from all rows of docs where learn holds and lang isn't null, whole texts; None if there is none.
 
-    Learns from about per_language rows a language, drawn by a hash of the id, whole texts, and of their words from
-    the model_words most frequent. A fifth of the rows is left out to calibrate: the temperature that turns
-    cross-entropies into scores, and the cross-entropy that a share of `accepted` of known-language texts stays under.
+    Of each language about `calibrate` rows, a fifth at most and never all, are drawn by a hash of the id and left out
+    to calibrate: the temperature that turns cross-entropies into scores, and for each language the cross-entropy
+    beyond which it is rejected, `margin` times what a share of `accepted` of its own texts stays under.
     """
-    known = docs.where(learn & F.col(lang_col).isNotNull())
-    rows = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
+    draw = F.xxhash64(F.col(id_col), F.lit(seed))
+    known = docs.where(learn & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
+    rows = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("first")).collect()  # a row per language
     if not rows:
         return None
-    draw = F.xxhash64(F.col(id_col), F.lit(seed))
-    share = F.element_at(F.create_map(*[x for k, n in rows.items() for x in (F.lit(k), F.lit(min(1.0, per_language / n)))]), F.col(lang_col))
-    drawn = known.where(draw.bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31) < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (F.pmod(F.shiftright(draw, 33), F.lit(5)) == 0).alias("held"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        found: dict[str, Counter] = {}
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.setdefault(lang, Counter()).update(w for w in map(letters, (text or "").lower().split()) if w)
-        flat = [(lang, w, n) for lang, c in found.items() for w, n in c.items()]
-        columns = list(zip(*flat, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], names=["lang", "word", "n"])
-
-    counted = drawn.where(~F.col("held")).select("lang", "text").mapInArrow(words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts: dict[str, dict[str, int]] = {}
-    for batch in counted.toArrow().to_batches():
-        for lang, word, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            counts.setdefault(lang, {})[word] = n
-    if not counts:
+    per = docs.sparkSession.createDataFrame([(r["lang"], min(0.2, calibrate / r["n"]), r["first"]) for r in rows], "lang string, share double, first long")
+    held = (F.col("draw").bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31) < F.col("share")) & (F.col("draw") != F.col("first"))
+    drawn = known.join(F.broadcast(per), "lang").select("lang", "text", held.alias("held"))
+    model = fit(stage_table(count_words(drawn.where(~F.col("held"))), "langid-words"), order, most_grams)
+    if model is None:
         return None
-    model = fit({lang: dict(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:model_words]) for lang, c in counts.items()}, order)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,14 +283,17 @@ def train(docs: DataFrame, learn: Column, per_language: int = 400, model_words:
             found = [x for x in found if x[2]]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1].tolist() for x in found], pa.list_(pa.float64()))], names=["lang", "bits"])
 
-    held = drawn.where("held").select("lang", "text").mapInArrow(bits, "lang string, bits array<double>").toPandas()
-    held = held[held["lang"].isin(model.languages)]
-    if len(held):
-        matrix = np.stack(held["bits"].to_list())
-        right = held["lang"].map(model.languages.index).to_numpy()
+    found = drawn.where("held").select("lang", "text").mapInArrow(bits, "lang string, bits array<double>").toPandas()  # `calibrate` rows a language
+    found = found[found["lang"].isin(model.languages)]
+    if len(found):
+        matrix = np.stack(found["bits"].to_list())
+        right = found["lang"].map(model.languages.index).to_numpy()
         loss = {t: -np.log(np.maximum(_posterior(matrix, t)[np.arange(len(right)), right], 1e-12)).mean() for t in (0.5, 1, 2, 4, 8, 16)}
         model.temperature = float(min(loss, key=loss.get))
-        model.limit = float(np.quantile(matrix.min(axis=1), accepted)) * 1.05
+        best = matrix.argmin(axis=1)
+        for i in range(len(model.languages)):
+            if len(own := matrix[(best == i) & (right == i), i]):
+                model.limits[i] = float(np.quantile(own, accepted)) * margin
     return model
 
 
@@ -240,7 +305,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
 
     lang_pred is the language of lowest cross-entropy per symbol over the whole text, `und` with score 0 where the
     text is null or has no letter or where nothing was learned. accepted is false for those and where even the lowest
-    cross-entropy is above the calibrated limit. Ties go to the first language by name. Repeated rows get the same;
+    cross-entropy is above its language's calibrated limit, as in languages that weren't learned. Ties go to the first language by name. Repeated rows get the same;
     other columns pass through, and those of the names above are replaced; an empty table gives an empty table.
     """
     made = ("lang_pred", "score", "bits", "accepted", text_col)
@@ -263,7 +328,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
                     out.append(("und", 0.0, None, False))
                     continue
                 best = int(bits.argmin())
-                out.append((model.languages[best], float(_posterior(bits, model.temperature)[best]), float(bits[best]), bool(bits[best] <= model.limit)))
+                out.append((model.languages[best], float(_posterior(bits, model.temperature)[best]), float(bits[best]), bool(bits[best] <= model.limits[best])))
             columns = list(zip(*out, strict=True)) or [()] * 4
             kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=names)

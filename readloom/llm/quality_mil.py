@@ -96,22 +96,33 @@ class Model:
     def score(self, x: np.ndarray, many: np.ndarray) -> np.ndarray:
         return self._forward((x - self.mean) / self.scale, many)["y"] if len(many) else np.zeros(0)
 
-    def fit(self, x: np.ndarray, many: np.ndarray, labels: np.ndarray, epochs: int = 200, rate: float = 0.01, decay: float = 1e-4) -> None:
-        """Adam over all bags at once; both labels weigh alike."""
+    def gradient(self, x: np.ndarray, many: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the weighted sum of the bags' log losses, by each parameter."""
+        p, f, first = self.p, self._forward(x, many), np.cumsum(many) - many
+        h, t, g, a = f["h"], f["t"], f["g"], f["a"]
+        ds = (weight * (f["y"] - labels)).astype(np.float32)
+        dz = np.repeat(ds, many)[:, None] * p["c"]
+        da = (h * dz).sum(axis=1)
+        de = a * (da - np.repeat(np.add.reduceat(a * da, first), many))
+        dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
+        dh = (a[:, None] * dz + dt @ p["V"].T + dg @ p["U"].T) * (h > 0)
+        return {
+            "W": x.T @ dh, "bW": dh.sum(0), "V": h.T @ dt, "bV": dt.sum(0), "U": h.T @ dg, "bU": dg.sum(0),
+            "w": (t * g).T @ de, "c": f["z"].T @ ds, "b": ds.sum(keepdims=True),
+        }
+
+    def fit(
+        self, x: np.ndarray, many: np.ndarray, labels: np.ndarray, times: np.ndarray | None = None, epochs: int = 200, rate: float = 0.01, decay: float = 1e-4
+    ) -> None:
+        """Adam over all bags at once, each counted so many times; both labels weigh alike."""
+        times = np.ones(len(many)) if times is None else times
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 0.02
-        x, first = (x - self.mean) / self.scale, np.cumsum(many) - many
-        weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+        x = (x - self.mean) / self.scale
+        each = {k: times[labels == k].sum() for k in (0, 1)}
+        weight = times * np.where(labels == 1, 0.5 / max(1, each[1]), 0.5 / max(1, each[0]))
         m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
         for step in range(1, epochs + 1):
-            p, f = self.p, self._forward(x, many)
-            h, t, g, a = f["h"], f["t"], f["g"], f["a"]
-            ds = (weight * (f["y"] - labels)).astype(np.float32)
-            dz = np.repeat(ds, many)[:, None] * p["c"]
-            da = (h * dz).sum(axis=1)
-            de = a * (da - np.repeat(np.add.reduceat(a * da, first), many))
-            dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
-            dh = (a[:, None] * dz + dt @ p["V"].T + dg @ p["U"].T) * (h > 0)
-            grad = {"W": x.T @ dh, "bW": dh.sum(0), "V": h.T @ dt, "bV": dt.sum(0), "U": h.T @ dg, "bU": dg.sum(0), "w": (t * g).T @ de, "c": f["z"].T @ ds, "b": ds.sum(keepdims=True)}
+            p, grad = self.p, self.gradient(x, many, labels, weight)
             for k in p:
                 d = grad[k] + decay * p[k]
                 m[k], v[k] = 0.9 * m[k] + 0.1 * d, 0.999 * v[k] + 0.001 * d * d
@@ -131,30 +142,47 @@ def _bags(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, list[byt
         yield at, lot
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, seed: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
-    """A model from at most sample_rows labelled rows, drawn by a hash of the id; None without labelled texts.
+def train(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, sample_bytes: int = 48 << 20, seed: int = 3,
+    id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+) -> Model | None:
+    """A model from a bounded sample of labelled texts; None without any.
 
-    Null labels are left out. Ids labelled more than once count once for each label, and repeated documents once for
-    each row.
+    The sample is drawn by a hash of the id: at most sample_rows different texts with their labels, of sample_bytes
+    bytes together, as the driver holds about a byte of features a byte. A text over what is left of that is passed
+    over for the next, and one over all of it is never learned from; it is scored whole like any other. Null labels
+    are left out. Ids labelled more than once count once for each label, and repeated rows once each.
     """
     draw = F.xxhash64(F.col(id_col), F.lit(seed))
-    some = labels.where(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).cast("int").alias("label"), draw.alias("draw")).orderBy("draw", id_col, "label").limit(sample_rows)
+    known = labels.where(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).cast("int").alias("label"), draw.alias("draw"))
+    some = known.orderBy("draw", id_col, "label").limit(sample_rows)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    asked = docs.select(id_col, text.alias("text_")).join(F.broadcast(some), id_col).select("draw", F.xxhash64("text_").alias("th"), "label", "text_")
+    sized = asked.groupBy("draw", "th", "label").agg(F.max(F.octet_length("text_")).alias("size"), F.count("*").alias("times"))
+    left, drawn = sample_bytes, []
+    for r in sized.orderBy("draw", "th", "label").limit(sample_rows).collect():
+        if r["size"] <= left:
+            left -= r["size"]
+            drawn.append((r["draw"], r["th"], r["label"], r["times"]))
+    if not drawn:
+        return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label = batch.column(0).to_numpy()
-            for at, texts in _bags(batch.column(2)):
+            for at, texts in _bags(batch.column(4)):
                 x, many = encode_passages(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(label[at : at + len(texts)]), batch.column(1).slice(at, len(texts)), pa.array([a.tobytes() for a in np.split(x, np.cumsum(many)[:-1])])], names=["label", "draw", "x"])
-
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data")
-    found = docs.select(id_col, text).join(F.broadcast(some), id_col).select("label", "draw", "data").mapInArrow(run, "label int, draw long, x binary").toPandas()
-    if found.empty:
-        return None
-    found = found.sort_values(["draw", "label", "x"], ignore_index=True)  # the same model for any order of rows
+                bags = pa.array([a.tobytes() for a in np.split(x, np.cumsum(many)[:-1])], pa.binary())
+                own = [batch.column(i).slice(at, len(texts)) for i in range(4)]
+                yield pa.RecordBatch.from_arrays([*own, bags], names=["draw", "th", "label", "times", "x"])
+
+    keys = F.broadcast(docs.sparkSession.createDataFrame(drawn, "draw long, th long, label int, times long"))  # sample_rows rows at most
+    chosen = asked.join(keys, ["draw", "th", "label"]).select("draw", "th", "label", "times", F.col("text_").cast("binary").alias("data"))
+    encoded = chosen.mapInArrow(run, "draw long, th long, label int, times long, x binary")
+    found = encoded.groupBy("draw", "th", "label").agg(F.any_value("times").alias("times"), F.any_value("x").alias("x")).toPandas()
+    found = found.sort_values(["draw", "th", "label"], ignore_index=True)  # the same model for any order of rows
     bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in found["x"]]
     model = Model()
-    model.fit(np.concatenate(bags), np.array([len(b) for b in bags]), found["label"].to_numpy())
+    model.fit(np.concatenate(bags), np.array([len(b) for b in bags]), found["label"].to_numpy(), found["times"].to_numpy())
     return model
 
 

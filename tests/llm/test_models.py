@@ -58,13 +58,88 @@ def test_hot_leaves_are_searched_in_blocks(spark):
     assert len(found) == 500 and sum(r["vec_id"] in asked[r["query_id"]] for r in found) >= 480
 
 
-def test_kneser_ney_sums_to_one():
-    model = langid.fit({"a": {"abba": 3, "abc": 2, "cab": 1, "a": 4}, "b": {"bcd": 5, "dd": 1, "bd": 2}}, order=4)
-    for prefix in ("", "a", "ab", "abb", "bc", "dd", "cabab"):
-        after = [prefix + c for c in "abcd"]
-        word, place, logs = model.symbols([*after, prefix])
-        last = [logs[(word == i) & (place == len(prefix) + 1)][0] for i in range(5)]
-        assert np.exp2(np.array(last)).sum(axis=0) == pytest.approx([1, 1], abs=1e-4)
+COUNTS = {"a": {"abba": 3, "abc": 2, "cab": 1, "a": 4, "bbbb": 1}, "b": {"bcd": 5, "dd": 1, "bd": 2, "abcd": 1}}
+
+
+def fitted(spark, order, most=100_000):
+    rows = [(lang, w, n) for lang, c in COUNTS.items() for w, n in c.items()]
+    return langid.fit(spark.createDataFrame(rows, "lang string, word string, n long").repartition(3), order, most)
+
+
+def test_kneser_ney_sums_to_one(spark):
+    for most in (100_000, 4):
+        model = fitted(spark, 4, most)
+        for prefix in ("", "a", "ab", "abb", "bc", "dd", "cabab"):
+            after = [prefix + c for c in "abcd"]
+            word, place, logs = model.symbols([*after, prefix])
+            last = [logs[(word == i) & (place == len(prefix) + 1)][0] for i in range(5)]
+            assert np.exp2(np.array(last)).sum(axis=0) == pytest.approx([1, 1], abs=1e-4)
+
+
+def plain_kneser_ney(counts, order):
+    """A function of a context and a symbol, from dictionaries of n-grams; the edge is ^ before and $ after a word."""
+    seen = {k: {} for k in range(1, order + 1)}
+    for w, n in counts.items():
+        text = "^" + w + "$"
+        for end in range(2, len(text) + 1):
+            for k in range(1, min(order, end) + 1):
+                g = text[end - k : end]
+                seen[k][g] = seen[k].get(g, 0) + n
+    raw = {order: seen[order]}
+    for k in range(1, order):
+        kinds = {}
+        for g in seen[k + 1]:
+            kinds[g[1:]] = kinds.get(g[1:], 0) + 1
+        raw[k] = {g: n if g[0] == "^" else kinds[g] for g, n in seen[k].items()}
+
+    def p(context, symbol, k, symbols):
+        if k == 0:
+            return 1 / symbols
+        if len(context) < k - 1:
+            return p(context, symbol, k - 1, symbols)
+        c = context[len(context) - k + 1 :]
+        ones, twos = (sum(1 for n in raw[k].values() if n == x) for x in (1, 2))
+        discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones + twos else 0.5
+        own = {g: n for g, n in raw[k].items() if g[:-1] == c}
+        total = sum(own.values())
+        shorter = p(context, symbol, k - 1, symbols)
+        return shorter if not total else max(own.get(c + symbol, 0) - discount, 0) / total + discount * len(own) / total * shorter
+
+    return p
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_kneser_ney_equals_the_plain_one(spark, order):
+    model = fitted(spark, order)
+    symbols = len(set("".join("".join(c) for c in COUNTS.values()))) + 1
+    words_ = ["abba", "abc", "dcba", "zz", "a", "bcdd", "cabbage"]
+    for i, lang in enumerate(model.languages):
+        p = plain_kneser_ney(COUNTS[lang], order)
+        word, place, logs = model.symbols(words_)
+        for j, w in enumerate(words_):
+            text = "^" + w + "$"
+            asked = [np.log2(p(text[:end], text[end], order, symbols)) for end in range(1, len(text))]
+            assert logs[(word == j) & (place > 0)][:, i] == pytest.approx(asked, abs=1e-4)
+
+
+def test_all_words_of_all_rows_are_counted(spark):
+    texts = [("a", "Ab ab, c1d"), ("a", "AB"), ("b", "ab 12 --"), ("b", None), ("a", "")]
+    found = langid.count_words(spark.createDataFrame(texts, "lang string, text string").repartition(2), most=1).collect()
+    assert {(r["lang"], r["word"]): r["n"] for r in found} == {("a", "ab"): 3, ("a", "cd"): 1, ("b", "ab"): 1}
+
+
+def test_unlearned_languages_are_rejected(spark):
+    r = random.Random(17)
+    make = lambda letters, n: " ".join("".join(r.choices(letters, k=r.randint(2, 7))) for _ in range(n))
+    learned = {"one": "aeioulmn", "two": "zxkwqtrsa"}
+    docs = [(i, make(learned[lang], 80), lang) for i in range(400) for lang in [("one", "two")[i % 2]]]
+    model = langid.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"), F.lit(True), order=3)
+    new = [(i, make(letters, 80)) for letters in (*learned.values(), "bdfghjpvy", "жзийклмн") for i in range(30)]
+    found = langid.predict(spark.createDataFrame(new, "doc_id long, text string"), model).collect()
+    accepted = [sum(x["accepted"] for x in found[k : k + 30]) for k in range(0, 120, 30)]
+    assert min(accepted[:2]) >= 28 and accepted[2:] == [0, 0]
+    one = spark.createDataFrame([(1, "only one row", "solo"), *[(i, make("abc", 30), "more") for i in range(2, 40)]], "doc_id long, text string, lang string")
+    assert langid.train(one, F.lit(True)).languages == ["more", "solo"]
 
 
 def test_languages(spark):
@@ -74,7 +149,7 @@ def test_languages(spark):
     other = documents(spark, extra=False).select((F.col("doc_id") + 1000).alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"))
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string").unionByName(other).withColumns({c: F.lit("old") for c in ("score", "bits", "accepted", "lang_pred")})
     held = langid.held_out("doc_id", 4, 2)
-    model = langid.train(df, ~held, per_language=50)
+    model = langid.train(df, ~held)
     found = langid.predict(df.withColumn("held", held), model).collect()
     assert len(found) == 200 + len(rows()) and all(0 <= x["score"] <= 1 for x in found)
     assert all(x["lang_pred"] == x["lang"] for x in found if x["doc_id"] is not None and x["doc_id"] < 200)
@@ -108,3 +183,43 @@ def test_attention_learns():
     model.fit(x, many, y, epochs=200)
     assert np.abs(model.score(x, many) - y).mean() < 0.1 < before
     assert model.score(x[:2], many[:1]) == pytest.approx(model.score(x, many)[:1], abs=1e-5)
+
+
+def test_attention_equals_plain_loops():
+    r = np.random.default_rng(2)
+    x, many, y, weight = r.standard_normal((9, 5)).astype(np.float32), np.array([2, 3, 4]), np.array([1, 0, 1]), np.array([0.5, 1.0, 2.0])
+    model = quality_mil.Model(features=5, hidden=6, gates=3, seed=1)
+    model.p = {k: v.astype(np.float64) + 0.1 * r.standard_normal(v.shape) for k, v in model.p.items()}
+
+    def plain(p):
+        out, at = [], 0
+        for n in many:
+            h = [np.maximum(np.array([sum(v[i] * p["W"][i, j] for i in range(5)) + p["bW"][j] for j in range(6)]), 0) for v in x[at : at + n]]
+            e = [sum(p["w"][g] * np.tanh(u @ p["V"][:, g] + p["bV"][g]) / (1 + np.exp(-(u @ p["U"][:, g] + p["bU"][g]))) for g in range(3)) for u in h]
+            a = np.exp(e) / np.exp(e).sum()
+            out.append(1 / (1 + np.exp(-(sum(w * u for w, u in zip(a, h)) @ p["c"] + p["b"][0]))))
+            at += n
+        return np.array(out)
+
+    assert model.score(x, many) == pytest.approx(plain(model.p), abs=1e-6)
+    loss = lambda p: float(-(weight * (y * np.log(plain(p)) + (1 - y) * np.log(1 - plain(p)))).sum())
+    grad = model.gradient(x, many, y, weight)
+    for name, value in model.p.items():
+        for at in [tuple(r.integers(0, n) for n in value.shape) for _ in range(4)]:
+            step = np.zeros_like(value)
+            step[at] = 1e-5
+            slope = (loss(model.p | {name: value + step}) - loss(model.p | {name: value - step})) / 2e-5
+            assert grad[name][at] == pytest.approx(slope, abs=1e-4), name
+
+
+def test_the_sample_is_bounded_by_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, words(5 + 40 * (i % 3), i)) for i in range(30)] + [(3, words(5, 3))] * 4, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    held = []
+    fit = quality_mil.Model.fit
+    monkeypatch.setattr(quality_mil.Model, "fit", lambda self, x, many, y, times: held.append((len(many), int(times.sum()))) or fit(self, x, many, y, times, epochs=1))
+    quality_mil.train(docs, labels)
+    quality_mil.train(docs, labels, sample_bytes=600)
+    quality_mil.train(docs, labels, sample_rows=7)
+    assert held[0] == (30, 34) and 5 <= held[1][0] < 20 and held[2][0] == 7
+    assert quality_mil.train(docs, labels, sample_bytes=3) is None
