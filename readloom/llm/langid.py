@@ -165,7 +165,7 @@ def fit(words: DataFrame, order: int = 5, most_grams: int = 100_000) -> Model |
     """
     grams = stage_table(count_grams(words, order), "langid-counts")
     bucket = F.floor(F.log2("n") * 8).cast("int")
-    shape = grams.groupBy("lang", "k", bucket.alias("bucket")).agg(F.count("*").alias("grams"), F.count_if("raw = 1").alias("ones"), F.count_if("raw = 2").alias("twos")).collect()
+    shape = grams.groupBy("lang", "k", bucket.alias("bucket")).agg(F.count("*").alias("grams"), F.count_if(F.col("raw") == 1).alias("ones"), F.count_if(F.col("raw") == 2).alias("twos")).collect()
     if not shape:
         return None
     symbols = grams.where("k = 1").select("gram").distinct().count()
