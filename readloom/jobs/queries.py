@@ -6,6 +6,7 @@ SQL runs on both engines; operators are DataFrames on one side and SQL on the ot
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from readloom.functions import alignment as A
 from readloom.functions import headers as H
 from readloom.operators import align, coverage, damage, limits, pairing, post, stats, trim
+from readloom.operators.stored import shared_folder
 from readloom.sources import manifest, reports
 from readloom.sources.reference import windows
 from readloom.streaming import arrivals
@@ -68,6 +70,8 @@ VIEWS = {
     "lost": f"""select 'o' || {_s("o_orderkey")} as qname, cast(case o_custkey % 3 when 0 then case when m = 1 then 77 else 141 end when 1 then case when m = 1 then 73 else 149 end
         else case when m = 1 then 4 else 0 end end as int) as flag, substr({_dna(_s("o_orderkey"))}, m, 20) as seq, '!+5?IIIIIIIIIIIIIII!' as qual
       from {{orders}} cross join (select 1 as m union all select 2 as m) mates""",
+    # single reads of all units under fifty names
+    "shared": f"select 'r' || {_s('score % 50')} as qname, cast(flag & 20 as int) as flag, rname, pos, cigar, readlen, score, unit_id from {{alignments}}",
     "contigs": f"select n_nationkey as tid, 'chr' || {_s('n_nationkey')} as rname, cast(1100 as bigint) as length from {{nation}} where n_nationkey < 7",
 }
 #: The genome and reads cut from it: concatenation in order is written differently.
@@ -188,13 +192,16 @@ R.add("pilot_budget_by_chunk", lambda v: limits.pilot_budget(limits.read_counts(
 
 
 def _mates(v: Views) -> DataFrame:
-    reads = v.reads
-    two = reads.where("unit_id = 'U1'").withColumn("unit_id", F.lit("U0"))
-    return limits.mates(reads.where("unit_id = 'U0'"), two)
+    """Every even unit's reads with those of the next one."""
+    reads, number = v.reads, F.expr("cast(substr(unit_id, 2) as int)")
+    even = F.concat(F.lit("U"), (number - 1).cast("string"))
+    return limits.mates(reads.where(number % 2 == 0), reads.where(number % 2 == 1).withColumn("unit_id", even))
 
 
-_MATES = """, two as (select 'U0' as unit_id, ordinal, qname, seq from reads where unit_id = 'U1'),
-  m as (select a.unit_id, a.ordinal, a.qname as qname1, a.seq as seq1, b.qname as qname2, b.seq as seq2 from reads a join two b on a.unit_id = b.unit_id and a.ordinal = b.ordinal)"""
+_MATES = """, numbered as materialized (select cast(substr(unit_id, 2) as int) as u, ordinal, qname, seq from reads),
+  one as (select u // 2 as pair, * from numbered where u % 2 = 0), two as (select u // 2 as pair, * from numbered where u % 2 = 1),
+  m as (select 'U' || cast(a.u as varchar) as unit_id, a.ordinal, a.qname as qname1, a.seq as seq1, b.qname as qname2, b.seq as seq2
+    from one a join two b on a.pair = b.pair and a.ordinal = b.ordinal)"""
 R.add("mate_join", lambda v: _mates(v).select("unit_id", "ordinal", "qname1", "seq1", "qname2", "seq2"), _with("reads", body=f"{_MATES} select * from m"))
 R.add("mate_name_check", lambda v: limits.mate_name_mismatches(_mates(v)), _with("reads", body=f"{_MATES} select unit_id, ordinal, qname1, qname2 from m where qname1 <> qname2"))
 R.add("resume_pending", lambda v: limits.pending(limits.chunk_ids(_chunked(v)), _chunked(v).where("unit_id in ('U3', 'U4') or ordinal < 500").select("unit_id", "chunk_id").distinct(), "unit_id", "chunk_id"),
@@ -261,6 +268,14 @@ R.add("markdup_pe", lambda v: post.mark_duplicates(post.confident(v.pairs), F.co
     ends as (select e1 as x from n where pair union select e2 from n where pair),
     l as (select qname from r where nth > 1 or (not pair and e1 in (select x from ends)))
     select e.qname, cast(e.flag | case when l.qname is null then 0 else 1024 end as int) as flag from e left join l on e.qname = l.qname"""))
+_REPORT = """select count(*) as reads, count(*) filter (not x) as excluded, count(*) filter (x) as examined, count(*) filter (x and p) as paired, count(*) filter (x and not p) as single,
+  count(*) filter (x and p and d) as duplicate_paired, count(*) filter (x and not p and d) as duplicate_single, case when count(*) filter (x) > 0 then count(*) filter (x and d) / count(*) filter (x) else 0.0 end::double as duplicate_share
+  from (select (flag & 2308) = 0 as x, (flag & 1) <> 0 as p, (flag & 1024) <> 0 as d from marked) f"""
+R.add("duplicate_report", lambda v: post.duplicate_report(_marked(v)), _with("alignments", body=f"{_GROUPS} {_REPORT}"))
+R.add("markdup_shared_names", lambda v: post.mark_duplicates(v.shared, F.col("score")).select("qname", "flag", "rname", A.five_prime(F.col("pos"), F.col("cigar"), F.col("flag")).alias("five"), "score"), _with("alignments", "shared", body="""
+    , k as (select *, case when (flag & 16) <> 0 then pos + readlen - 1 else pos end as five from shared),
+    d as (select *, row_number() over (partition by flag, rname, five order by score desc, qname) as nth from k)
+    select qname, cast(flag | case when nth > 1 and (flag & 4) = 0 then 1024 else 0 end as int) as flag, rname, five, score from d"""))
 R.add("read_group", lambda v: post.with_read_group(v.alignments.withColumn("tags", F.create_map(F.lit("RG"), F.col("unit_id"), F.lit("NM"), F.lit("i:0"))), "s1").select("qname", F.col("tags")["RG"].alias("rg"), F.size("tags").alias("n_tags")),
       _with("alignments", body="select qname, 'Z:s1' as rg, 2 as n_tags from alignments"))
 
@@ -340,16 +355,25 @@ R.add("fragment_length_hist", lambda v: damage.fragment_lengths(v.cut.selectExpr
 
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream over the events folder, run until all that is there has been read."""
-    import uuid
-
-    name = f"arrivals_{uuid.uuid4().hex[:12]}"
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = arrivals.arriving(spark, f"{sf_dir}/events*.parquet", schema)
-    hours = stream.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
-    query = hours.select(F.col("w.start").alias("window_start"), "event_type", "n", "total").writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    """The stream over the events folder, run until all that is there has been read.
+
+    Each batch writes the windows it changed to the shared folder, under its own number, so a batch done twice is
+    written once; the last that was said of a window counts. The table is history, read in any order, so that only
+    what is ten years late would be left out.
+    """
+    folder = f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}"
+    stream = arrivals.arriving(spark, f"{sf_dir}/events*.parquet", spark.read.parquet(f"{sf_dir}/events.parquet").schema)
+    utc = stream.withColumn("ts", F.expr("cast(convert_timezone('UTC', current_timezone(), ts) as timestamp)"))  # watermarks ask for instants
+    counts = arrivals.counts_by_window(utc, "ts", "1 day", "3650 days", "event_type")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("said", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/windows/batch={number}")
+
+    query = counts.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start()
     query.awaitTermination()
-    return spark.table(name)
+    last = spark.read.parquet(f"{folder}/windows").groupBy("window_start", "event_type").agg(F.max_by(F.struct("n", "total"), "said").alias("l"))
+    start = F.expr("convert_timezone(current_timezone(), 'UTC', cast(window_start as timestamp_ntz))").alias("window_start")
+    return last.select(start, "event_type", "l.n", F.round("l.total", 3).alias("total"))
 
 
 R.made["streaming_counts"] = _arrivals

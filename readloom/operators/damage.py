@@ -2,22 +2,57 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions import alignment as A
 
 
+def _tally(strings: pa.Array, others: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of (place, byte of strings, byte of others) over rows of equal lengths up to depth, and how often each."""
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        column = column.cast(pa.binary())
+        at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        return np.frombuffer(column.buffers()[2] or b"", np.uint8)[at[0] : at[-1]], np.diff(at)
+
+    (one, sizes), (two, _) = flat(strings), flat(others)
+    place = np.arange(len(one)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    counts = np.bincount((place << 16) + one.astype(np.int64) * 256 + two, minlength=depth << 16)
+    codes = np.flatnonzero(counts)
+    return codes, counts[codes]
+
+
 def substitutions(aligned: DataFrame, depth: int = 25) -> DataFrame:
     """end (5p or 3p), place (from 1), ref, alt, n over all contigs: aligned has flag, and seq and reference of one
-    length without gaps, both in the contig's direction. Places count along the molecule, so reverse reads are turned."""
+    length without gaps, both in the contig's direction; rows where these are null or of two lengths are left out.
+    Places count along the molecule, so reverse reads are turned.
+
+    Only the `depth` bases at either end go to Python, where a batch is counted at once; a task hands on its counts, a
+    row for each change it saw, so the shuffle doesn't grow with the reads.
+    """
     back = A.has(F.col("flag"), A.REVERSE)
     turn = lambda c: F.when(back, A.reverse_complement(F.col(c))).otherwise(F.col(c))
-    own = aligned.select(turn("seq").alias("s"), turn("reference").alias("r")).withColumn("n", F.length("s"))
-    near = F.sequence(F.lit(1), F.least(F.lit(depth), F.col("n")))
-    at = lambda i, end: F.struct(F.lit(end).alias("end"), i.alias("place"), F.substr("r", i if end == "5p" else F.col("n") - i + 1, F.lit(1)).alias("ref"), F.substr("s", i if end == "5p" else F.col("n") - i + 1, F.lit(1)).alias("alt"))
-    places = own.where("n > 0").select(F.explode(F.concat(F.transform(near, lambda i: at(i, "5p")), F.transform(near, lambda i: at(i, "3p")))).alias("p"))
-    return places.groupBy("p.end", "p.place", "p.ref", "p.alt").agg(F.count("*").alias("n"))
+    own = aligned.where("length(seq) = length(reference)").select(turn("seq").alias("s"), turn("reference").alias("r"))
+    ends = own.selectExpr(f"left(r, {depth}) as r5", f"left(s, {depth}) as s5", f"reverse(right(r, {depth})) as r3", f"reverse(right(s, {depth})) as s3")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for batch in batches:
+            for end, (i, j) in (("5p", (0, 1)), ("3p", (2, 3))):
+                codes, counts = _tally(batch.column(i), batch.column(j), depth)
+                for code, n in zip(codes.tolist(), counts.tolist(), strict=True):
+                    total[end, code] += n
+        rows = [(end, (code >> 16) + 1, chr(code >> 8 & 255), chr(code & 255), n) for (end, code), n in total.items()]
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["end", "place", "ref", "alt", "n"])
+
+    return ends.mapInArrow(run, "end string, place int, ref string, alt string, n long").groupBy("end", "place", "ref", "alt").agg(F.sum("n").alias("n"))
 
 
 def damage_profile(counts: DataFrame) -> DataFrame:

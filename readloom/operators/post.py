@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions import alignment as A
+from readloom.operators.stored import stored
 
 _flag = F.col
 
@@ -74,30 +75,64 @@ def fix_mates(df: DataFrame) -> DataFrame:
     return both.select(*kept, flag.cast("int").alias("flag"), F.when(same, "=").when(there, F.col("m_rname")).otherwise("*").alias("rnext"), F.coalesce("m_pos", F.lit(0)).cast("long").alias("pnext"), tlen.cast("long").alias("tlen"))
 
 
-def mark_duplicates(df: DataFrame, score: Column, fragment_ends: bool = False) -> DataFrame:
+def mark_duplicates(df: DataFrame, score: Column, fragment_ends: bool = False, by: tuple[str, ...] = ("qname",)) -> DataFrame:
     """df with the duplicate bit of flag set on all but the best of reads that begin alike.
 
-    Pairs are alike by both ends' contigs, unclipped 5' positions and strands, singles by their own; a single that
-    begins where an end of a pair does is a duplicate of it. The best has the highest score (of both ends), then the
-    smallest name. With fragment_ends, singles must also end alike. Unmapped, secondary and supplementary reads are
-    left alone. The best of each group is aggregated before the shuffle and joined back, so a group of any size is
-    never sorted in one task.
+    Two paired reads, one of each end, that share the columns `by` are a pair; every other read stands by itself,
+    whatever its name, as names repeat across units. Pairs are alike by both ends' contigs, unclipped 5' positions and
+    strands, singles by their own; a single that begins where an end of a pair does is a duplicate of it. The best has
+    the highest score (of both ends), then the smallest `by`. With fragment_ends, singles must also end alike.
+    Unmapped, secondary and supplementary reads are left alone. Rows equal in `by`, flag, place, CIGAR and score are
+    one read told twice and share its verdict.
+
+    All is decided on narrow rows: the best of each group is aggregated before the shuffle and joined back, so a group
+    of any size is never sorted in one task, and whole reads are shuffled once.
     """
     counted = A.without(_flag("flag"), A.UNMAPPED | A.SECONDARY | A.SUPPLEMENTARY)
-    five = A.five_prime(F.col("pos"), F.col("cigar"), _flag("flag"))
-    end = F.concat_ws(":", "rname", five.cast("string"), F.when(A.has(_flag("flag"), A.REVERSE), "-").otherwise("+"))
-    three = F.when(A.has(_flag("flag"), A.REVERSE), F.col("pos")).otherwise(F.col("pos") + A.reference_length(F.col("cigar")) - 1) if fragment_ends else F.lit("")
-    ends = df.where(counted).select("qname", end.alias("end"), F.concat_ws(":", end, three.cast("string")).alias("lone"), score.alias("score"), A.has(_flag("flag"), A.PAIRED).alias("paired"))
-    named = ends.groupBy("qname").agg(F.sum("score").alias("score"), F.min("end").alias("e1"), F.max("end").alias("e2"), F.min("lone").alias("lone"), (F.first("paired") & (F.count("*") == 2)).alias("pair"))
-    keyed = named.select("qname", "score", "pair", "e1", "e2", F.when(F.col("pair"), F.concat_ws("|", "e1", "e2")).otherwise(F.col("lone")).alias("key"))
-    best = keyed.groupBy("pair", "key").agg(F.max("score").alias("top")).alias("b")
-    scored = keyed.join(best, ["pair", "key"])
-    winner = scored.where("score = top").groupBy("pair", "key").agg(F.min("qname").alias("winner"))
-    beaten = keyed.where("not pair").join(keyed.where("pair").select(F.explode(F.array("e1", "e2")).alias("e1")).distinct(), "e1", "left_semi").select("qname")
-    losers = keyed.join(winner, ["pair", "key"]).where("qname <> winner").select("qname").unionByName(beaten).distinct().withColumn("loses", F.lit(True))
-    marked = df.join(losers, "qname", "left")
-    flag = F.when(counted & F.col("loses"), _flag("flag").bitwiseOR(F.lit(A.DUPLICATE))).otherwise(_flag("flag").bitwiseAND(F.lit(~A.DUPLICATE)))
-    return marked.withColumn("flag", flag.cast("int")).drop("loses")
+    back = A.has(_flag("flag"), A.REVERSE)
+    last = F.col("pos") + A.reference_length(F.col("cigar")) - 1
+    end = F.concat_ws(":", "rname", A.five_prime(F.col("pos"), F.col("cigar"), _flag("flag")).cast("string"), F.when(back, "-").otherwise("+"))
+    lone = F.concat_ws(":", end, F.when(back, F.col("pos")).otherwise(last).cast("string")) if fragment_ends else end
+    read = F.xxhash64(*by, _flag("flag").bitwiseAND(F.lit(~A.DUPLICATE)), "rname", "pos", "cigar", score)
+    ends = df.where(counted).select(
+        *by, read.alias("read"), end.alias("end"), lone.alias("lone"), score.alias("score"),
+        A.has(_flag("flag"), A.PAIRED).alias("paired"), A.has(_flag("flag"), A.READ1).alias("first"),
+    )
+    named = ends.where("paired").where(" and ".join(f"{c} is not null" for c in by)).groupBy(*by).agg(
+        F.count("*").alias("ends"), F.count_if("first").alias("firsts"), F.sum("score").alias("score"),
+        F.min("end").alias("e1"), F.max("end").alias("e2"), F.min("read").alias("r1"), F.max("read").alias("r2"),
+    )
+    pairs = named.where("ends = 2 and firsts = 1")
+    alone = ends.join(pairs.select(*by, F.lit(True).alias("mated")), list(by), "left").where("not paired or mated is null")
+
+    rank = lambda r: F.struct((-F.col("score")).alias("cost"), *by, F.col(r).alias("read"))
+    keyed = pairs.select(*by, F.lit(True).alias("pair"), F.concat_ws("|", "e1", "e2").alias("key"), rank("r1").alias("rank"), F.array("r1", "r2").alias("reads"))
+    keyed = keyed.unionByName(alone.select(*by, F.lit(False).alias("pair"), F.col("lone").alias("key"), rank("read").alias("rank"), F.array("read").alias("reads")))
+    best = keyed.groupBy("pair", "key").agg(F.min("rank").alias("best"))
+    worse = keyed.join(best, ["pair", "key"]).where("rank <> best").select(*by, F.explode("reads").alias("read"))
+    starts = pairs.select(F.explode(F.array("e1", "e2")).alias("end")).distinct()
+    beaten = alone.join(starts, "end", "left_semi").select(*by, "read")
+    losers = worse.unionByName(beaten).distinct().select(*[F.col(c).alias(f"_{c}") for c in by], F.col("read").alias("_read"), F.lit(True).alias("_loses"))
+    same = F.col("_read_of") == F.col("_read")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    marked = df.withColumn("_read_of", read).join(losers, same, "left")
+    flag = F.when(counted & F.col("_loses"), _flag("flag").bitwiseOR(F.lit(A.DUPLICATE))).otherwise(_flag("flag").bitwiseAND(F.lit(~A.DUPLICATE)))
+    return marked.withColumn("flag", flag.cast("int")).select(*df.columns)
+
+
+def duplicate_report(marked: DataFrame) -> DataFrame:
+    """One row of counts: reads read, excluded (unmapped, secondary, supplementary), examined, paired and single among
+    these, duplicates of each kind, and the share of duplicates among the examined (0 if there are none)."""
+    examined = A.without(_flag("flag"), A.UNMAPPED | A.SECONDARY | A.SUPPLEMENTARY)
+    paired, duplicate = A.has(_flag("flag"), A.PAIRED), A.has(_flag("flag"), A.DUPLICATE)
+    counts = marked.agg(
+        F.count("*").alias("reads"), F.count_if(~examined).alias("excluded"), F.count_if(examined).alias("examined"),
+        F.count_if(examined & paired).alias("paired"), F.count_if(examined & ~paired).alias("single"),
+        F.count_if(examined & paired & duplicate).alias("duplicate_paired"), F.count_if(examined & ~paired & duplicate).alias("duplicate_single"),
+    )
+    share = F.when(F.col("examined") > 0, (F.col("duplicate_paired") + F.col("duplicate_single")) / F.col("examined")).otherwise(F.lit(0.0))
+    return counts.withColumn("duplicate_share", share)
 
 
 def with_read_group(df: DataFrame, sample: str) -> DataFrame:
@@ -118,10 +153,10 @@ def coordinate_ranks(ordered: DataFrame) -> DataFrame:
     """ordered, as coordinate_sorted() gives it, with rank: the row's place from 0 in the order of all, which is the
     rows of earlier range partitions and its place within its own.
 
-    Rows are numbered once and kept by the executors, as a second range shuffle may draw other borders; the prefix sum
-    takes one row per partition.
+    Rows are numbered once and stored in the shared folder, as a second range shuffle may draw other borders; the
+    prefix sum takes one row per partition.
     """
-    numbered = ordered.withColumn("at", F.monotonically_increasing_id()).localCheckpoint()
+    numbered = stored(ordered.withColumn("at", F.monotonically_increasing_id()), "ranked")
     part = F.shiftright("at", 33)
     per = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
     earlier = F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))

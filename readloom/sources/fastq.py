@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.sources.lines import place
+
 
 def read_fastq(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, ordinal, header, seq, qual. Files may be plain or gzip, of several members too.
+    """path, ordinal, header, seq, qual. Files may be plain or gzip, of several members too, in splits of any size.
 
-    A gzip file is read whole by one task, so its lines have consecutive ids; the file's smallest id, aggregated
-    before it is shuffled, makes places start at 0. Plain files must not be split (set spark.sql.files.maxPartitionBytes
-    above their size). A number of lines that isn't a multiple of four fails.
+    Lines are numbered by place(). A number of lines that isn't a multiple of four fails.
     """
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("id"), "value")
-    first = lines.groupBy("path").agg(F.min("id").alias("first"), F.count("*").alias("lines"))
-    whole = first.where(F.when(F.col("lines") % 4 != 0, F.raise_error(F.concat(F.lit("not a multiple of four lines: "), F.col("path"))).cast("boolean")).otherwise(True))
-    placed = lines.join(whole, "path").select("path", (F.col("id") - F.col("first")).alias("line"), "value")
+    lines = place(spark.read.text(paths))
+    whole = F.when(F.col("lines") % 4 != 0, F.raise_error(F.concat(F.lit("not a multiple of four lines: "), F.col("path"))).cast("boolean")).otherwise(True)
     part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
-    return placed.groupBy("path", F.expr("line div 4").alias("ordinal")).agg(part(0).alias("header"), part(1).alias("seq"), part(3).alias("qual"))
+    return lines.where(whole).groupBy("path", F.expr("line div 4").alias("ordinal")).agg(part(0).alias("header"), part(1).alias("seq"), part(3).alias("qual"))
 
 
 def file_headers(reads: DataFrame, sample: int = 3) -> DataFrame:
@@ -31,8 +29,3 @@ def write_fastq(reads: DataFrame, path: str) -> None:
     """Writes qname, seq, qual as gzip FASTQ, in the order of qname within each file; no reads give an empty file."""
     record = F.concat_ws("\n", F.concat(F.lit("@"), F.col("qname")), "seq", F.lit("+"), "qual")
     reads.sortWithinPartitions("qname").select(record.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
-
-
-def number_reads(reads: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """ordinal of reads that came without one, within groups."""
-    return reads.withColumn("ordinal", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)

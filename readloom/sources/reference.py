@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from readloom.sources.lines import place
+
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """tid, rname, length, seq of a FASTA file, in its order; names end at the first white space."""
-    lines = spark.read.text(path).coalesce(1).select(F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
-    order = Window.orderBy("id")
-    marked = lines.withColumn("tid", F.sum(F.when(F.col("line").startswith(">"), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    body = marked.groupBy("tid").agg(
-        F.regexp_extract(F.max(F.when(F.col("line").startswith(">"), F.col("line"))), r"^>(\S+)", 1).alias("rname"),
-        F.array_sort(F.collect_list(F.when(~F.col("line").startswith(">"), F.struct("id", F.upper(F.trim("line")).alias("s"))))).alias("parts"),
+    """tid, rname, length, seq of a FASTA file, in its order; names end at the first white space.
+
+    Lines are numbered by place() under any split, and each finds its contig by the header before it: a running count
+    within its split, and the headers of earlier splits by a prefix sum over a row per split. Contigs are put together
+    apart from each other, one to a row.
+    """
+    lines = place(spark.read.text(path)).select("start", "line", F.col("value").alias("text"), F.when(F.col("value").startswith(">"), 1).otherwise(0).alias("head"))
+    heads = lines.groupBy("start").agg(F.sum("head").alias("heads"))
+    earlier = F.sum("heads").over(Window.partitionBy(F.lit(0)).orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    before = heads.select("start", F.coalesce(earlier, F.lit(0)).alias("before"))
+    running = F.sum("head").over(Window.partitionBy("start").orderBy("line").rowsBetween(Window.unboundedPreceding, 0))
+    of = lines.withColumn("within", running).join(before, "start").withColumn("tid", F.col("before") + F.col("within") - 1)
+    body = of.groupBy("tid").agg(
+        F.regexp_extract(F.max(F.when(F.col("head") == 1, F.col("text"))), r"^>(\S+)", 1).alias("rname"),
+        F.array_sort(F.collect_list(F.when(F.col("head") == 0, F.struct("line", F.upper(F.trim("text")).alias("s"))))).alias("parts"),
     )
     seq = F.array_join(F.transform("parts", lambda p: p["s"]), "")
     return body.select("tid", "rname", seq.alias("seq")).select("tid", "rname", F.length("seq").cast("long").alias("length"), "seq")

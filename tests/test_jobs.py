@@ -56,6 +56,28 @@ def test_sources(spark, inputs, tmp_path):
         manifest.read_manifest(spark, str(tmp_path / "none.txt"))
 
 
+def test_readers_under_small_splits(spark, tmp_path):
+    r = random.Random(9)
+    reads = [(f"r{i} 1:N", "".join(r.choices("ACGT", k=(n := r.randint(1, 90)))), "".join(r.choices("@+>I", k=n))) for i in range(900)]
+    for name, part in (("a", reads), ("b", reads[:7])):
+        (tmp_path / f"{name}.fastq").write_text("".join(f"@{h}\n{s}\n+\n{q}\n" for h, s, q in part))
+    contigs = {f"c{i}": "".join(r.choices("ACGTacgt", k=n)) for i, n in enumerate([5000, 1, 777, 9000])}
+    (tmp_path / "ref.fa").write_text("".join(f">{k} x\n" + "\n".join(v[i : i + 60] for i in range(0, len(v), 60)) + "\n" for k, v in contigs.items()))
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "2000b")
+        lines = spark.read.text(str(tmp_path / "a.fastq"))
+        assert lines.rdd.getNumPartitions() > 10
+        found = fastq.read_fastq(spark, [str(tmp_path / f"{x}.fastq") for x in "ab"]).collect()
+        assert {(x["path"][-7], x["ordinal"], x["header"], x["seq"], x["qual"]) for x in found} == {(n, i, f"@{h}", s, q) for n, own in (("a", reads), ("b", reads[:7])) for i, (h, s, q) in enumerate(own)}
+        assert len(found) == 907
+        rows = reference.read_fasta(spark, str(tmp_path / "ref.fa")).orderBy("tid").collect()
+        assert [(x["tid"], x["rname"], x["seq"]) for x in rows] == [(i, k, v.upper()) for i, (k, v) in enumerate(contigs.items())]
+    finally:
+        spark.conf.set(setting, before)
+
+
 @pytest.mark.parametrize("library", ["modern", "ancient-all", "ancient-fast"])
 def test_run(spark, inputs, tmp_path, library):
     job = make(spark, inputs, tmp_path, library_type=library, emit_unmapped=True, damage=True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.headers import direction, qname
-from readloom.operators import align, coverage, limits, pairing, post, trim
+from readloom.operators import align, coverage, damage, limits, pairing, post, trim
 from readloom.sources.reference import kmers, windows
 
 HEADERS = [  # header, further second tokens, direction, key
@@ -96,6 +96,20 @@ def test_duplicates(spark):
     assert post.mark_duplicates(ends, F.col("score")).where("flag > 0").first()["qname"] == "a"
 
 
+def test_reads_that_share_a_name_stand_by_themselves(spark):
+    rows = [("q", 0, 10, "5M", 5, "u1"), ("q", 0, 500, "5M", 5, "u2"), ("z", 0, 10, "5M", 9, "u3"), (None, 0, 70, "5M", 1, "u1"), (None, 0, 70, "5M", 2, "u1")]
+    rows += [("p", 65, 30, "5M", 1, u) for u in ("u1", "u2")] + [("p", 145, 60, "5M", 1, u) for u in ("u1", "u2")]
+    df = spark.createDataFrame([(q, f, "c1", p, c, s, u) for q, f, p, c, s, u in rows], "qname string, flag int, rname string, pos long, cigar string, score long, unit_id string")
+    marked = lambda by: {(r["qname"], r["pos"], r["score"], r["unit_id"]) for r in post.mark_duplicates(df, F.col("score"), by=by).where("(flag & 1024) <> 0").collect()}
+    singles = {("q", 10, 5, "u1"), (None, 70, 1, "u1")}
+    assert marked(("unit_id", "qname")) == singles | {("p", 30, 1, "u2"), ("p", 60, 1, "u2")}
+    assert {x for x in marked(("qname",)) if x[0] != "p"} == singles
+    again = post.mark_duplicates(df, F.col("score"), by=("unit_id", "qname"))
+    assert post.mark_duplicates(again, F.col("score"), by=("unit_id", "qname")).exceptAll(again).count() == 0
+    report = post.duplicate_report(again).first()
+    assert (report["examined"], report["duplicate_paired"], report["duplicate_single"]) == (9, 2, 2) and report["duplicate_share"] == 4 / 9
+
+
 @pytest.mark.parametrize("size", [7, 64, 1 << 20])
 def test_depth_equals_counting(spark, size):
     r = random.Random(1)
@@ -139,6 +153,25 @@ def test_budgets():
     assert [align.mismatch_budget(50, x) for x in (0, 1, 3)] == [0, 1, 3]
 
 
+def test_substitutions_are_counted_from_both_ends(spark):
+    r = random.Random(11)
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows, asked = [], {}
+    for _ in range(200):
+        ref = "".join(r.choices("ACGT", k=r.randint(1, 40)))
+        seq, flag = "".join(x if r.random() < 0.8 else r.choice("ACGT") for x in ref), r.choice([0, 16])
+        rows.append((flag, seq, ref))
+        s, t = (turn(seq), turn(ref)) if flag else (seq, ref)
+        for end, a, b in (("5p", s, t), ("3p", s[::-1], t[::-1])):
+            for i in range(min(25, len(a))):
+                asked[end, i + 1, b[i], a[i]] = asked.get((end, i + 1, b[i], a[i]), 0) + 1
+    rows += [(0, None, "A"), (0, "A", None), (0, "", ""), (0, "AC", "A")]
+    df = spark.createDataFrame(rows, "flag int, seq string, reference string").repartition(3)
+    found = damage.substitutions(df).collect()
+    assert {(x["end"], x["place"], x["ref"], x["alt"]): x["n"] for x in found} == asked and len(found) == len(asked)
+    assert damage.substitutions(df.limit(0)).count() == 0
+
+
 def test_kmers_cross_pieces(spark):
     seq = "".join(random.Random(2).choices("ACGT", k=57))
     contigs = spark.createDataFrame([("c", seq), ("empty", "")], "rname string, seq string")
