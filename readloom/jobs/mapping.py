@@ -17,6 +17,9 @@ from readloom.sources import fastq, manifest, reference, sam
 
 log = logging.getLogger(__name__)
 
+#: What names a pair: read names repeat across units.
+_PAIR = ("unit_id", "qname")
+
 
 class MappingJob:
     def __init__(self, spark: SparkSession, config: MappingConfig):
@@ -89,19 +92,19 @@ class MappingJob:
         return trimmed, counts
 
     def align(self, trimmed: DataFrame, contigs: DataFrame) -> DataFrame:
-        """qname, mate, single and the columns of SAM, unmapped reads included. Merged, unpaired and single reads are
+        """unit_id and the columns of SAM, unmapped reads included. Merged, unpaired and single reads are
         mapped alone; unmerged pairs are left out for ancient-fast."""
         c = self.config
         single = F.col("read_class") != "unmerged"
         used = trimmed.where(single) if c.library_type == "ancient-fast" else trimmed
         used = used.withColumn("read_id", F.concat_ws(":", "unit_id", "ordinal", "mate")).withColumn("single", single)
         placed = align.align_modern(used, contigs) if c.library_type == "modern" else align.align_ancient(used, contigs, c.mismatch)
-        whole = placed.join(used.select("read_id", "qname", "mate", "single", "seq", "qual"), "read_id")
+        whole = placed.join(used.select("read_id", "unit_id", "qname", "mate", "single", "seq", "qual"), "read_id")
         alone = whole.where("single")
-        paired = align.as_pairs(whole.where("not single"))
+        paired = align.as_pairs(whole.where("not single"), by=_PAIR)
         back = A.has(F.col("flag"), A.REVERSE)
         return alone.unionByName(paired).select(
-            "qname", "flag", "rname", "pos", "mapq", "cigar", F.lit("*").alias("rnext"), F.lit(0).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"),
+            "unit_id", "qname", "flag", "rname", "pos", "mapq", "cigar", F.lit("*").alias("rnext"), F.lit(0).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"),
             F.when(back, A.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"), F.when(back, F.reverse("qual")).otherwise(F.col("qual")).alias("qual"),
             F.create_map(F.lit("NM"), F.concat(F.lit("i:"), F.coalesce("mm", F.lit(0)))).alias("tags"),
         )
@@ -118,18 +121,19 @@ class MappingJob:
         used = ("manifest", "reference", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2", "library_type", "mismatch")
         aligned = self.store.run("aligned", c.key(*used), lambda: self.align(trimmed, contigs))
         if c.emit_unmapped:
-            lost = post.route_unmapped(aligned, c.legacy_unmapped_routing)
+            lost = post.route_unmapped(aligned, c.legacy_unmapped_routing, _PAIR)
             for stream in ("R1", "R2", "SE"):
                 fastq.write_fastq(lost.where(F.col("stream") == stream), f"{c.outdir}/{c.sample}.unmapped.{stream}")
 
         def mark() -> DataFrame:
             good = post.confident(post.mapped(aligned), c.min_mapq)
             if c.library_type != "ancient-fast" and self.seq_mode != "SE":
-                good = post.fix_mates(good)
-            return post.with_read_group(post.mark_duplicates(good, A.quality_score(F.col("qual")), c.dedup_fragment_ends), c.sample)
+                good = post.fix_mates(good, _PAIR)
+            return post.with_read_group(post.mark_duplicates(good, A.quality_score(F.col("qual")), c.dedup_fragment_ends, _PAIR), c.sample)
 
         marked = self.store.run("marked", c.key(*used, "min_mapq", "dedup_fragment_ends", "sample"), mark)
-        final = post.coordinate_sorted(post.deduplicated(marked), contigs)
+        self._table("duplicates", post.duplicate_report(marked))
+        final = post.coordinate_sorted(post.deduplicated(marked), contigs).drop("unit_id")
         final.write.mode("overwrite").parquet(f"{c.outdir}/{c.sample}.final.RG")
         sam.write_sam(self.spark.read.parquet(f"{c.outdir}/{c.sample}.final.RG"), contigs, f"{c.outdir}/{c.sample}.final.RG.sam", c.sample)
         if c.damage:

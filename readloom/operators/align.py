@@ -174,11 +174,11 @@ def align_modern(reads: DataFrame, contigs: DataFrame, seed: int = 19, stride: i
     return _with_unmapped(reads, best.dropDuplicates(["read_id"]).select("read_id", "strand", "rname", "pos", mapq.alias("mapq"), "mm", "clipped_cigar"))
 
 
-def as_pairs(placed: DataFrame, largest: int = 1000) -> DataFrame:
-    """placed (qname, mate and the columns of an aligner) with the bits of pairs in flag: which mate, what the other
-    did, and proper if the two face each other on one contig within `largest` bases."""
-    other = placed.select("qname", (3 - F.col("mate")).alias("mate"), F.col("flag").alias("m_flag"), F.col("rname").alias("m_rname"), F.col("pos").alias("m_pos"))
-    both = placed.join(other, ["qname", "mate"], "left")
+def as_pairs(placed: DataFrame, largest: int = 1000, by: tuple[str, ...] = ("qname",)) -> DataFrame:
+    """placed (the columns `by`, which name a pair, mate and the columns of an aligner) with the bits of pairs in flag:
+    which mate, what the other did, and proper if the two face each other on one contig within `largest` bases."""
+    other = placed.select(*by, (3 - F.col("mate")).alias("mate"), F.col("flag").alias("m_flag"), F.col("rname").alias("m_rname"), F.col("pos").alias("m_pos"))
+    both = placed.join(other, [*by, "mate"], "left")
     bit = lambda c, b: F.col(c).bitwiseAND(F.lit(b)) != 0
     ahead = F.when(bit("flag", 16), F.col("m_pos") <= F.col("pos")).otherwise(F.col("pos") <= F.col("m_pos"))
     proper = ~bit("flag", 4) & ~bit("m_flag", 4) & (F.col("rname") == F.col("m_rname")) & (bit("flag", 16) != bit("m_flag", 16)) & ahead & (F.abs(F.col("pos") - F.col("m_pos")) <= largest)

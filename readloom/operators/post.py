@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,12 +45,12 @@ def unmapped_stream(flag: Column, mate_missing: Column, legacy: bool = False) ->
     )
 
 
-def route_unmapped(df: DataFrame, legacy: bool = False) -> DataFrame:
-    """qname, stream, seq, qual of unmapped reads; seq and qual as they were read. A read whose mate isn't unmapped
-    stands alone."""
+def route_unmapped(df: DataFrame, legacy: bool = False, by: tuple[str, ...] = ("qname",)) -> DataFrame:
+    """qname, stream, seq, qual of unmapped reads; seq and qual as they were read. A read whose mate, of the same `by`,
+    isn't unmapped stands alone."""
     lost = unmapped(df)
-    pair = lost.where(A.has(_flag("flag"), A.PAIRED)).groupBy("qname").agg(F.count("*").alias("ends"))
-    both = lost.join(pair.where("ends > 1").select("qname", F.lit(True).alias("both")), "qname", "left")
+    pair = lost.where(A.has(_flag("flag"), A.PAIRED)).groupBy(*by).agg(F.count("*").alias("ends"))
+    both = lost.join(pair.where("ends > 1").select(*by, F.lit(True).alias("both")), list(by), "left")
     back = A.has(_flag("flag"), A.REVERSE)
     stream = unmapped_stream(_flag("flag"), F.col("both").isNull(), legacy)
     seq = F.when(back, A.reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
@@ -55,15 +58,16 @@ def route_unmapped(df: DataFrame, legacy: bool = False) -> DataFrame:
     return both.select("qname", stream.alias("stream"), seq.alias("seq"), qual.alias("qual")).where("stream is not null")
 
 
-def fix_mates(df: DataFrame) -> DataFrame:
+def fix_mates(df: DataFrame, by: tuple[str, ...] = ("qname",)) -> DataFrame:
     """df (primary alignments) with rnext, pnext, tlen and the mate bits of flag set from the mate: a self-join on
-    qname, without a name sort. Orphans get `*`, 0, 0 and the bit that the mate is unmapped."""
+    `by`, which name a pair, without a name sort. Orphans get `*`, 0, 0 and the bit that the mate is unmapped."""
     mate = df.select(
-        F.col("qname"), A.has(_flag("flag"), A.READ1).alias("m_first"), F.col("rname").alias("m_rname"), F.col("pos").alias("m_pos"),
+        *by, A.has(_flag("flag"), A.READ1).alias("m_first"), F.col("rname").alias("m_rname"), F.col("pos").alias("m_pos"),
         A.has(_flag("flag"), A.REVERSE).alias("m_reverse"), (F.col("pos") + A.reference_length(F.col("cigar")) - 1).alias("m_end"),
     )
     own = df.withColumn("first", A.has(_flag("flag"), A.READ1)).alias("o")
-    both = own.join(mate.alias("m"), (F.col("o.qname") == F.col("m.qname")) & (F.col("first") != F.col("m_first")) & A.has(F.col("flag"), A.PAIRED), "left")
+    same_pair = reduce(and_, [F.col(f"o.{c}") == F.col(f"m.{c}") for c in by])
+    both = own.join(mate.alias("m"), same_pair & (F.col("first") != F.col("m_first")) & A.has(F.col("flag"), A.PAIRED), "left")
     end, there = F.col("pos") + A.reference_length(F.col("cigar")) - 1, F.col("m_pos").isNotNull()
     same = there & (F.col("rname") == F.col("m_rname"))
     five, mate_five = F.when(A.has(_flag("flag"), A.REVERSE), end).otherwise(F.col("pos")), F.when(F.col("m_reverse"), F.col("m_end")).otherwise(F.col("m_pos"))
