@@ -42,11 +42,12 @@ _LENGTH = "cast(20 + 6 * l_linenumber as int)"
 VIEWS = {
     "listed": f"""select event_id as idx, case when event_type = 'error' then '# left out ' || {_s("event_id")} when event_id % 50 = 0 then ' '
       else '  run' || {_s("user_id")} || '/reads' || {_s("event_id")} || '.fastq.gz ' end as line from {{events}}""",
-    "headers": f"""select event_id as idx, case event_type when 'view' then '@A' || {_s("user_id")} || ' 1:N:0' when 'click' then '@A' || {_s("user_id")} || ' 2:N:0'
-        when 'signup' then '@B' || {_s("user_id")} || '/1' when 'purchase' then '@B' || {_s("user_id")} || '/2 len=4' else '@SRR' || {_s("user_id")} || '.1 1 length=90' end as header,
+    # every event is a file; views and clicks, signups and purchases, and up to three errors of a user share names
+    "headers": f"""select event_id as idx, case event_type when 'view' then '@A' || {_s("user_id")} || '.' || {_s("nth")} || ' 1:N:0' when 'click' then '@A' || {_s("user_id")} || '.' || {_s("nth")} || ' 2:N:0'
+        when 'signup' then '@B' || {_s("user_id")} || '.' || {_s("nth")} || '/1' when 'purchase' then '@B' || {_s("user_id")} || '.' || {_s("nth")} || '/2 len=4'
+        else '@SRR' || {_s("user_id")} || '.' || {_s("cast(ceil(nth / cast(1 + user_id % 3 as double)) as bigint)")} || ' 1 length=90' end as header,
       case event_type when 'error' then '@SRR' || {_s("user_id")} || '.2 2 length=90' else '@next 1' end as header2, cast(100 + event_id % 2 as bigint) as reads
-      from (select *, row_number() over (partition by user_id, event_type order by event_id) as nth from {{events}}) e
-      where nth <= case when event_type = 'error' then 1 + user_id % 3 else 1 end""",
+      from (select *, row_number() over (partition by user_id, event_type order by event_id) as nth from {{events}}) e""",
     "reads": f"""select 'U' || {_s("l_suppkey % 20")} as unit_id, case when l_suppkey % 20 < 10 then 'PE' else 'SE' end as kind,
       cast(case when l_suppkey % 20 < 10 then 1 + l_linenumber % 2 else 1 end as int) as mate, l_returnflag, l_linestatus,
       cast(row_number() over (partition by l_suppkey % 20 order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 as bigint) as ordinal,
@@ -149,9 +150,9 @@ _DIRECTION = """case when header like '% 1:%' then 'R1' when header like '% 2:%'
 _FILES = f"files as (select idx, {_QNAME} as key, {_DIRECTION} as direction, reads from headers)"
 _BY = """by_key as (select key, count(*) filter (direction = 'R1') as n1, count(*) filter (direction = 'R2') as n2, count(*) filter (direction = 'UNKNOWN') as n0,
   min(idx) filter (direction = 'R1') as i1, min(idx) filter (direction = 'R2') as i2, min(idx) filter (direction = 'UNKNOWN') as u1, max(idx) filter (direction = 'UNKNOWN') as u2 from files group by key)"""
-_UNITS = """units as (select kind || lpad(cast(row_number() over (partition by kind order by idx1) as varchar), 4, '0') as unit_id, kind, key, idx1, idx2 from (
+_UNITS = """units as (select kind || case when nth < 1000 then lpad(cast(nth as varchar), 4, '0') else cast(nth as varchar) end as unit_id, kind, key, idx1, idx2 from (select *, row_number() over (partition by kind order by idx1) as nth from (
   select key, case when n2 = 1 then 'PE' else 'SE' end as kind, i1 as idx1, i2 as idx2 from by_key where n1 = 1
-  union all select key, case when n0 = 2 then 'PE' else 'SE' end, u1, case when n0 = 2 then u2 end from by_key where n0 between 1 and 2) u)"""
+  union all select key, case when n0 = 2 then 'PE' else 'SE' end, u1, case when n0 = 2 then u2 end from by_key where n0 between 1 and 2) u) w)"""
 
 
 def _files(body: str) -> str:
@@ -166,8 +167,8 @@ R.add("unit_pairing", lambda v: pairing.units(v.headers_described()), _files("se
 R.add("pair_conflicts", lambda v: pairing.conflicts(v.headers_described()), _files(
     """select * from (select key, case when n1 > 1 then 'two R1' when n2 > 1 then 'two R2' when n2 = 1 and n1 = 0 then 'R2 without R1' when n0 > 2 then 'over two unmarked'
        when n0 = 2 and n1 + n2 > 0 then 'unmarked pair of a marked key' end as problem from by_key) p where problem is not null"""))
-R.add("unit_orphans", lambda v: pairing.orphans(v.headers_described().where("direction <> 'R1' or idx % 2 = 0")), _files(
-    "select key, idx from files f where direction = 'R2' and not exists (select 1 from files g where g.key = f.key and g.direction = 'R1' and g.idx % 2 = 0)"))
+R.add("unit_orphans", lambda v: pairing.orphans(v.headers_described()), _files(
+    "select key, idx from files f where direction = 'R2' and not exists (select 1 from files g where g.key = f.key and g.direction = 'R1')"))
 R.add("seq_mode", lambda v: pairing.sequencing_mode(pairing.units(v.headers_described())), _files(
     """select case when count(*) filter (kind = 'PE') > 0 and count(*) filter (kind = 'SE') > 0 then 'MIX' when count(*) filter (kind = 'PE') > 0 then 'PE' else 'SE' end as seq_mode,
        count(*) filter (kind = 'PE') as pe_units, count(*) filter (kind = 'SE') as se_units from units"""))

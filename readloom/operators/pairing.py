@@ -45,13 +45,13 @@ def units(files: DataFrame) -> DataFrame:
     """unit_id, kind, key, idx1, idx2 of files (idx, key, direction) without conflicts.
 
     R1 and R2 of a key are a pair, R1 alone is single; one unmarked file is single, and of two the one listed first
-    is R1. Numbers follow the manifest. Keys are aggregated first, so the numbering sorts units, not files.
+    is R1. Numbers follow the manifest, of four digits or more. Keys are aggregated first, so the numbering sorts units, not files.
     """
     by = _by_key(files)
     marked = by.where("n1 = 1").select("key", F.when(F.col("n2") == 1, "PE").otherwise("SE").alias("kind"), F.col("i1").alias("idx1"), F.col("i2").alias("idx2"))
     bare = by.where("n0 between 1 and 2").select("key", F.when(F.col("n0") == 2, "PE").otherwise("SE").alias("kind"), F.col("u1").alias("idx1"), F.when(F.col("n0") == 2, F.col("u2")).alias("idx2"))
     number = F.row_number().over(Window.partitionBy("kind").orderBy("idx1"))
-    return marked.unionByName(bare).select(F.concat("kind", F.lpad(number.cast("string"), 4, "0")).alias("unit_id"), "kind", "key", "idx1", "idx2")
+    return marked.unionByName(bare).select(F.format_string("%s%04d", "kind", number).alias("unit_id"), "kind", "key", "idx1", "idx2")
 
 
 def sequencing_mode(unit_rows: DataFrame) -> DataFrame:
