@@ -45,8 +45,9 @@ class MappingConfig:
         if not 0 <= self.mismatch:
             raise ValueError("mismatch must not be negative")
 
-    def key(self, *names: str) -> str:
-        """A digest of the named settings, or of all that bear on results: stages of other settings aren't reused."""
+    def key(self, *names: str, inputs: tuple[str, ...] = ()) -> str:
+        """A digest of the named settings, or of all that bear on results, and of what is said of the input files:
+        stages of other settings or files aren't reused."""
         own = asdict(self)
         names = names or tuple(f.name for f in fields(self) if f.name not in ("resume", "keep_intermediate", "outdir"))
-        return hashlib.sha256(json.dumps({n: own[n] for n in sorted(names)}).encode()).hexdigest()[:16]
+        return hashlib.sha256(json.dumps([{n: own[n] for n in sorted(names)}, *inputs]).encode()).hexdigest()[:16]

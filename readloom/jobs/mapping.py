@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.headers import qname
-from readloom.jobs.store import StageStore
+from readloom.jobs.store import StageStore, described, same_uri, uri
 from readloom.operators import align, coverage, damage, limits, pairing, post, stats, trim
 from readloom.sources import fastq, manifest, reference, sam
 
@@ -35,6 +35,12 @@ class MappingJob:
     def paths(self) -> list[str]:
         return [r["path"] for r in self.files().orderBy("idx").collect()]  # a list of files, not of reads
 
+    def key(self, *names: str) -> str:
+        """The key of a stage: settings, and the files as they are now, so a changed file under its old path counts."""
+        files = [self.config.manifest, *self.paths()] if "manifest" in names else []
+        files += [self.config.reference] if "reference" in names else []
+        return self.config.key(*names, inputs=tuple(described(self.spark, f) for f in files))
+
     def validate(self) -> int:
         """Reads every file to its end; returns the number of lines. Writes nothing."""
         return manifest.check_gzip(self.spark, self.paths())
@@ -55,12 +61,12 @@ class MappingJob:
     def reads(self) -> tuple[DataFrame, DataFrame]:
         """Units, and reads by unit_id, kind, mate, ordinal, qname, seq, qual."""
         c, files = self.config, self.files()
-        raw = self.store.run("reads", c.key("manifest"), lambda: fastq.read_fastq(self.spark, self.paths()))
-        name = F.regexp_extract("path", r"([^/]+)\z", 1)
-        listed = files.withColumn("name", name)
-        if listed.count() != listed.select("name").distinct().count():
-            raise ValueError("two files of the manifest have the same name")
-        named = raw.withColumn("name", name)
+        raw = self.store.run("reads", self.key("manifest"), lambda: fastq.read_fastq(self.spark, self.paths()))
+        listed = [(r["idx"], uri(self.spark, r["path"])) for r in files.orderBy("idx").collect()]  # a row per file
+        if len({name for _, name in listed}) < len(listed):
+            raise ValueError("a file stands in the manifest twice")
+        listed = self.spark.createDataFrame(listed, "idx long, name string")
+        named = raw.withColumn("name", same_uri(F.col("path")))
         headers = fastq.file_headers(named.withColumnRenamed("path", "full").withColumnRenamed("name", "path"))
         described = pairing.describe(headers.join(listed.select("idx", F.col("name").alias("path")), "path"))
         problems = pairing.conflicts(described).limit(10).collect()
@@ -86,8 +92,8 @@ class MappingJob:
             pairs = limits.mates(pe.where("mate = 1"), pe.where("mate = 2"))
             return trim.trim_pairs(pairs, c.min_length, c.adapter_r1, c.adapter_r2).unionByName(trim.trim_singles(reads.where("kind = 'SE'"), c.min_length, c.adapter_r1))
 
-        trimmed = self.store.run("trimmed", c.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), make)
-        counts = self.store.run("raw-counts", c.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), lambda: stats.raw_counts(reads, trimmed))
+        trimmed = self.store.run("trimmed", self.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), make)
+        counts = self.store.run("raw-counts", self.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), lambda: stats.raw_counts(reads, trimmed))
         self.seq_mode = pairing.sequencing_mode(units).first()["seq_mode"]
         return trimmed, counts
 
@@ -117,9 +123,9 @@ class MappingJob:
         settings = {"sample": c.sample, "library_type": c.library_type, "seq_mode": self.seq_mode, "pilot_fragments": c.pilot_fragments, "max_reads_per_chunk": c.chunk_reads, "mapq": c.min_mapq}
         if c.trim_only:
             return self._table("stats", stats.trim_only_summary(settings, counts))
-        contigs = self.store.run("contigs", c.key("reference"), lambda: reference.read_fasta(self.spark, c.reference))
+        contigs = self.store.run("contigs", self.key("reference"), lambda: reference.read_fasta(self.spark, c.reference))
         used = ("manifest", "reference", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2", "library_type", "mismatch")
-        aligned = self.store.run("aligned", c.key(*used), lambda: self.align(trimmed, contigs))
+        aligned = self.store.run("aligned", self.key(*used), lambda: self.align(trimmed, contigs))
         if c.emit_unmapped:
             lost = post.route_unmapped(aligned, c.legacy_unmapped_routing, _PAIR)
             for stream in ("R1", "R2", "SE"):
@@ -131,7 +137,7 @@ class MappingJob:
                 good = post.fix_mates(good, _PAIR)
             return post.with_read_group(post.mark_duplicates(good, A.quality_score(F.col("qual")), c.dedup_fragment_ends, _PAIR), c.sample)
 
-        marked = self.store.run("marked", c.key(*used, "min_mapq", "dedup_fragment_ends", "sample"), mark)
+        marked = self.store.run("marked", self.key(*used, "min_mapq", "dedup_fragment_ends", "sample"), mark)
         self._table("duplicates", post.duplicate_report(marked))
         final = post.coordinate_sorted(post.deduplicated(marked), contigs).drop("unit_id")
         final.write.mode("overwrite").parquet(f"{c.outdir}/{c.sample}.final.RG")

@@ -2,11 +2,38 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from time import sleep
 
+from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def described(spark: SparkSession, path: str) -> str:
+    """Whole path, size and time of change of a file: what tells it from a later one under its name."""
+    status = _status(spark, path)
+    return f"{status.getPath().toUri()} {status.getLen()} {status.getModificationTime()}"
+
+
+def uri(spark: SparkSession, path: str) -> str:
+    """The path of a file as Spark's file metadata says it, but for the slashes after the scheme (see same_uri)."""
+    return re.sub(_SCHEME, "file:/", _status(spark, path).getPath().toUri().toString())
+
+
+def same_uri(path: Column) -> Column:
+    """Paths of file metadata in the form of uri()."""
+    return F.regexp_replace(path, _SCHEME, "file:/")
+
+
+_SCHEME = "^file:/+"
+
+
+def _status(spark: SparkSession, path: str) -> JavaObject:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop)
 
 
 class StageStore:

@@ -106,6 +106,27 @@ def test_trim_only_and_pilot(spark, inputs, tmp_path):
     assert not list(tmp_path.glob("*.stages"))
 
 
+def test_files_of_one_name_and_changed_files(spark, inputs, tmp_path):
+    for lane, names in (("lane 1", "ab"), ("lane2", "ab")):
+        (tmp_path / lane).mkdir()
+        for name in names:
+            (tmp_path / lane / f"{name}.fastq").write_text("".join(f"@{lane[-1]}{i} {'12'['ab'.index(name)]}:N\n{'ACGTTGCA' * 6}\n+\n{'I' * 48}\n" for i in range(6)))
+    (tmp_path / "list.txt").write_text("lane 1/a.fastq\nlane 1/b.fastq\nlane2/a.fastq\nlane2/b.fastq\n")
+    job = lambda: MappingJob(spark, MappingConfig("s1", str(tmp_path / "list.txt"), outdir=str(tmp_path / "out"), trim_only=True))
+    first = job()
+    assert first.run().first()["raw_fragments"] == 12 and first.store.reused == []
+    again = job()
+    assert again.run().first()["raw_fragments"] == 12 and set(again.store.reused) == {"reads", "trimmed", "raw-counts"}
+    for name in "ab":
+        path = tmp_path / "lane2" / f"{name}.fastq"
+        path.write_text("".join(path.read_text().splitlines(True)[:-4]))
+    changed = job()
+    assert changed.run().first()["raw_fragments"] == 11 and changed.store.reused == []
+    (tmp_path / "list.txt").write_text("lane2/a.fastq\nlane2/b.fastq\nlane2/a.fastq\n")
+    with pytest.raises(ValueError, match="twice"):
+        job().run()
+
+
 def test_store_ignores_what_is_not_whole(spark, tmp_path):
     store = StageStore(spark, str(tmp_path / "x"))
     store.run("a", "k", lambda: spark.range(3))
