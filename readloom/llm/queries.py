@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, quality_mil
+from . import ann, conversations, langid, quality_mil
 from .common import stage_table, table, word_count
 from .licenses import oracle as license_oracle
 from .licenses import recognise
@@ -157,9 +157,52 @@ from rated
 """
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversations.ordered_turns(table(spark, sf_dir, "conversations"))
+    return conversations.prefix_trie(conversations.with_heads(turns))
+
+
+OP11_SQL = """
+with recursive
+bits(i, k, c) as (
+  select i, 0, i from (select unnest(range(256)) as i) t
+  union all select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from bits where k < 8),
+tab as (select list(c order by i) as t from bits where k = 8),
+turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null),
+ids as (select distinct conv_id, conv_id::varchar as s from turns),
+crc(conv_id, s, i, c) as (
+  select conv_id, s, 0, 4294967295 from ids
+  union all select conv_id, s, i + 1, xor(c >> 8, t[(xor(c, ascii(s[i + 1])) & 255) + 1]) from crc, tab where i < length(s)),
+heads as (select conv_id, xor(c, 4294967295) % 6 as h, conv_id - conv_id % 100 as head_id from crc where i = length(s)),
+rebuilt as (
+  select h.conv_id, 0 as own, pos, role, text from heads h join turns t on t.conv_id = h.head_id where pos <= h
+  union all select h.conv_id, 1, pos, role, text from heads h join turns t on t.conv_id = h.conv_id where pos > h),
+path as (
+  select conv_id, row_number() over w as depth, length(text) as chars,
+         md5(string_agg(md5(length(role)::varchar || ':' || role || text), '') over w) as k
+  from rebuilt window w as (partition by conv_id order by own, pos)),
+rows_ as (select conv_id, depth, chars, k from path union all select conv_id, 0, 0, '' from ids),
+named as (select *, min(conv_id) over (partition by depth, k) as m from rows_),
+nodes as (select m, depth, count(*) as n, (count(*) - 1) * any_value(chars) as saving from named group by m, depth),
+linked as (select n.*, p.m as parent from nodes n left join named p on p.conv_id = n.m and p.depth = n.depth - 1),
+leafy as (select l.*, not exists (select 1 from linked c where c.parent = l.m and c.depth = l.depth + 1) as leaf from linked l),
+below as (
+  select a.m, a.depth, sum(v.leaf::int) as leaves, sum(v.saving) as saved, count(*) filter (v.depth = a.depth + 1) as children
+  from leafy v join named a on a.conv_id = v.m and a.depth <= v.depth group by a.m, a.depth),
+tops as (select conv_id, max(depth) as depth from rows_ group by conv_id),
+ends as (select m, n.depth, string_agg(n.conv_id::varchar, ',' order by n.conv_id) as ids from named n join tops using (conv_id, depth) group by m, n.depth)
+select l.m as conv_id, l.depth::bigint as depth, l.parent as parent_conv_id, l.n::bigint as n_convs, b.children::bigint as n_children,
+       b.leaves::bigint as n_leaves, b.saved::bigint as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from linked l join below b on b.m = l.m and b.depth = l.depth left join ends e on e.m = l.m and e.depth = l.depth
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op6_ann_kmeans_tree, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op6_ann_kmeans_tree, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup, op11_conversation_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_revisits": OP2_SQL, "op3_quality_cascade": OP3_SQL, "op4_license_sentences": license_oracle(), "op5_source_mixing": OP5_SQL, "op9_suffix_array_dedup": OP9_SQL}
+    return {"op2_warc_revisits": OP2_SQL, "op3_quality_cascade": OP3_SQL, "op4_license_sentences": license_oracle(), "op5_source_mixing": OP5_SQL, "op9_suffix_array_dedup": OP9_SQL, "op11_conversation_trie": OP11_SQL}
