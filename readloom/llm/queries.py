@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, conversations, langid, quality_mil
+from . import ann, conversations, langid, quality_mil, whitening
 from .common import stage_table, table, word_count
 from .licenses import oracle as license_oracle
 from .licenses import recognise
@@ -200,8 +200,20 @@ from linked l join below b on b.m = l.m and b.depth = l.depth left join ends e o
 """
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", whitening.whole_vectors(F.col("embedding")).alias("x"))
+    model = whitening.fit(vectors)
+    explained = [] if model is None else (model.variances / model.trace).tolist() if len(model.variances) else []
+    rows = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.element_at(F.array(*[F.lit(float(e)) for e in explained or [0.0]]), F.col("at") + 1).alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op6_ann_kmeans_tree, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup, op11_conversation_trie)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op6_ann_kmeans_tree, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup, op11_conversation_trie, op12_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
