@@ -11,6 +11,7 @@ from . import ann, conversations, langid, quality_mil, whitening
 from .common import stage_table, table, word_count
 from .licenses import oracle as license_oracle
 from .licenses import recognise
+from .line_dedup import drop_repeated_lines
 from .mixing import mix
 from .packing import pack_documents
 from .quality_rules import judge
@@ -212,9 +213,28 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+with d as (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+l as (select r, doc_id, unnest(lines) as line, unnest(range(len(lines))) as i from d),
+k as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from l),
+many as (select key, max(doc_id) as last from k where length(key) >= 40 group by key having count(distinct r) >= 5),
+told as (select k.*, m.key is not null and (k.doc_id is null and m.last is not null or k.doc_id < m.last) as dropped from k left join many m using (key))
+select doc_id, count(*)::bigint as n_lines, count(*) filter (dropped)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not dropped), '')) as kept_sha256
+from told group by r, doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op6_ann_kmeans_tree, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup, op11_conversation_trie, op12_embedding_whitening)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_revisits, op3_quality_cascade, op4_license_sentences, op5_source_mixing, op6_ann_kmeans_tree, op7_language_id, op8_quality_mil, op9_suffix_array_dedup, op10_simhash_near_dedup, op11_conversation_trie, op12_embedding_whitening, op13_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_revisits": OP2_SQL, "op3_quality_cascade": OP3_SQL, "op4_license_sentences": license_oracle(), "op5_source_mixing": OP5_SQL, "op9_suffix_array_dedup": OP9_SQL, "op11_conversation_trie": OP11_SQL}
+    return {"op2_warc_revisits": OP2_SQL, "op3_quality_cascade": OP3_SQL, "op4_license_sentences": license_oracle(), "op5_source_mixing": OP5_SQL, "op9_suffix_array_dedup": OP9_SQL, "op11_conversation_trie": OP11_SQL, "op13_line_dedup": OP13_SQL}

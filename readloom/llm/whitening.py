@@ -151,18 +151,18 @@ def _turned(q: list[float], e: list[float]) -> tuple[list[float], list[float]]:
 
 def _twisted(d: np.ndarray, low: np.ndarray, value: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Factors of L D L' - value from both ends, and the gammas of all twists."""
-    n, tiny = len(d), np.finfo(np.float64).tiny / _EPS
+    n, tiny = len(d), max(value * _EPS**2, np.finfo(np.float64).tiny / _EPS)
     plus, minus, s, p = np.zeros(max(0, n - 1)), np.zeros(max(0, n - 1)), np.zeros(n), np.zeros(n)
     safe = lambda x: x if abs(x) > tiny else tiny
     s[0] = -value
     for i in range(n - 1):
         plus[i] = d[i] * low[i] / safe(s[i] + d[i])
         s[i + 1] = plus[i] * low[i] * s[i] - value
-    p[-1] = d[-1] - value
+    p[-1] = safe(d[-1] - value)
     for i in range(n - 2, -1, -1):
         t = d[i] / safe(d[i] * low[i] ** 2 + p[i + 1])
         minus[i] = low[i] * t
-        p[i] = p[i + 1] * t - value
+        p[i] = safe(p[i + 1] * t - value)
     return plus, minus, s + p + value
 
 
@@ -246,8 +246,11 @@ def principal(r: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, float]:
     wanted = squares[: min(most, int((squares > max(r.shape) ** 2 * _EPS**2 * max(squares[0], 0) * 16).sum()))] if total > 0 else squares[:0]
     if not len(wanted):
         return np.zeros((r.shape[1], 0)), wanted, total
-    z, values = right_vectors(diagonal, above, wanted)
-    return v @ z, values, total
+    k = len(wanted)
+    while k < len(squares) and squares[k] > 0 and squares[k - 1] - squares[k] <= 1e-6 * squares[k - 1]:
+        k += 1  # the last group whole, or its span isn't that of its values
+    z, values = right_vectors(diagonal, above, squares[:k])
+    return v @ z[:, : len(wanted)], values[: len(wanted)], total
 
 
 # --- on Spark -----------------------------------------------------------------------------------------------------
