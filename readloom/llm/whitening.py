@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from .common import stage_table
 
-#: Entries of x are held to this, so that sums of halves of them stay exact.
+#: Scaled entries are held to this, so that sums of halves of them stay exact.
 LIMIT = 1 << 53
 _EPS = np.finfo(np.float64).eps
 
@@ -257,10 +257,10 @@ def principal(r: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, float]:
 
 
 def whole_vectors(vector: Column, scale: float = 64, offset: int = 1_000_000) -> Column:
-    """floor(scale * entry) + offset as whole numbers, held to +-2^53; null for a null vector or one with a null or
+    """floor(scale * entry) + offset as whole numbers, scale * entry held to +-2^53; null for a null vector or one with a null or
     non-finite entry."""
     good = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
-    number = lambda c: F.floor(F.greatest(F.lit(-float(LIMIT)), F.least(F.lit(float(LIMIT)), F.floor(c.cast("double") * F.lit(float(scale))) + F.lit(offset)))).cast("long")
+    number = lambda c: F.floor(F.greatest(F.lit(-float(LIMIT)), F.least(F.lit(float(LIMIT)), c.cast("double") * F.lit(float(scale))))).cast("long") + F.lit(offset)
     return F.when(good, F.transform(vector, number))
 
 
