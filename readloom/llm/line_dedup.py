@@ -2,7 +2,7 @@
 
 Every task notes its lines' hashes in a filter of those seen once and, where one was there already, in a filter of those
 seen twice. Merged, the second filter has every line of two documents or more; only lines it suspects are shuffled, by
-their 128-bit keys, and counted exactly. A filter is sized by the number of lines within a stated memory; more lines are
+their 128-bit keys, and counted exactly. Of the texts, only those that lose lines are shuffled. A filter is sized by the number of lines within a stated memory; more lines are
 taken in slices of the hash, each with filters of its own.
 """
 
@@ -13,13 +13,14 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import short_batches, stage_table
+from .common import in_bitmap, key_bitmap, short_batches, stage_table
 from .ordered import in_order, run_starts
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -266,6 +267,22 @@ def drop_repeated_lines(
         some = _suspects(keys, twice_seen(keys, bits, slices, number), slices, number)
         suspects = some if suspects is None else suspects.unionByName(some)
     gone = stage_table(confirm(suspects, least_docs).groupBy("row").agg(F.collect_list(F.struct("k1", "k2")).alias("gone")), "line-gone")
+    loses = _among(gone.select(F.xxhash64("row").alias("key")), most_bits)
     schema = T.StructType([staged.schema["rest"], *T.StructType.fromDDL("n_lines long, n_dropped long, kept binary").fields])
-    rewritten = staged.join(gone, "row", "left").select("rest", "text", "gone").mapInArrow(_rewrite(schema, least_chars), schema)
-    return rewritten.select("rest.*", "n_lines", "n_dropped", "kept")
+    lines = (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("long")
+    whole = staged.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    same = whole.where(~loses(F.xxhash64("row"))).select("rest", lines.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.col("text").cast("binary").alias("kept"))
+    cut = staged.where(loses(F.xxhash64("row"))).hint("merge").join(gone, "row", "left").select("rest", "text", "gone").mapInArrow(_rewrite(schema, least_chars), schema)
+    return same.unionByName(cut).select("rest.*", "n_lines", "n_dropped", "kept")
+
+
+def _among(keys: DataFrame, most_bits: int) -> Callable[[Column], Column]:
+    """Whether a hash may be one of keys (key): a bitmap of 32 bits a key and of most_bits bits at most."""
+    bits = min(most_bits, 1 << max(16, 32 * keys.count() - 1).bit_length())
+    sent = keys.sparkSession.sparkContext.broadcast(key_bitmap(keys, "key", bits))
+
+    @F.pandas_udf("boolean")
+    def told(key: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(np.frombuffer(sent.value, np.int64), key.to_numpy()))
+
+    return told
