@@ -212,14 +212,50 @@ def test_attention_equals_plain_loops():
             assert grad[name][at] == pytest.approx(slope, abs=1e-4), name
 
 
-def test_the_sample_is_bounded_by_bytes(spark, monkeypatch):
+def test_labels_are_drawn_of_documents_that_are_there(spark, monkeypatch):
     docs = spark.createDataFrame([(i, words(5 + 40 * (i % 3), i)) for i in range(30)] + [(3, words(5, 3))] * 4, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20_000)], "doc_id long, quality int")
     held = []
-    fit = quality_mil.Model.fit
-    monkeypatch.setattr(quality_mil.Model, "fit", lambda self, x, many, y, times: held.append((len(many), int(times.sum()))) or fit(self, x, many, y, times, epochs=1))
-    quality_mil.train(docs, labels)
-    quality_mil.train(docs, labels, sample_bytes=600)
+    fit = quality_mil.Model.fit_batches
+    monkeypatch.setattr(quality_mil.Model, "fit_batches", lambda self, batches: held.append([(len(m), int(t.sum())) for _, m, _, t in (b() for b in batches)]) or fit(self, batches, steps=1, rounds=1))
+    quality_mil.train(docs, labels, sample_rows=100)
     quality_mil.train(docs, labels, sample_rows=7)
-    assert held[0] == (30, 34) and 5 <= held[1][0] < 20 and held[2][0] == 7
-    assert quality_mil.train(docs, labels, sample_bytes=3) is None
+    quality_mil.train(docs, labels, batch_bytes=600)
+    assert held[0] == [(30, 34)] and held[1][0][0] == 7
+    assert len(held[2]) > 3 and tuple(map(sum, zip(*held[2], strict=True))) == (30, 34)
+
+
+def test_batches_learn_like_one():
+    r = np.random.default_rng(4)
+    many = r.integers(1, 5, 60)
+    y = r.integers(0, 2, 60)
+    x = r.random((int(many.sum()), 6)).astype(np.float32)
+    x[:, 2] += np.repeat(y, many)
+    ends = np.cumsum(many)
+    models = [quality_mil.Model(features=6, hidden=8, gates=3) for _ in range(2)]
+    models[0].fit(x, many, y)
+    part = lambda i: lambda: (x[(0, ends[29])[i] : (ends[29], None)[i]], many[i * 30 : i * 30 + 30], y[i * 30 : i * 30 + 30], np.ones(30))
+    models[1].fit_batches([part(0), part(1)])
+    assert np.allclose(models[0].mean, models[1].mean, atol=1e-6) and np.allclose(models[0].scale, models[1].scale, atol=1e-6)
+    assert all(((m.score(x, many) >= 0.5) == y).mean() > 0.95 for m in models)
+
+
+def test_passages_equal_plain_counts():
+    texts = [b"", b"a", b" ", b"x" * 64, b"y" * 65, (b"the same words of a line, again and again\n" * 5), "\u00dc b".encode() * 40, bytes(range(32, 127)) * 3]
+    x, many = quality_mil.encode_passages(texts, 64)
+    assert many.tolist() == [max(1, -(-len(t) // 64)) for t in texts]
+    row = 0
+    for t in texts:
+        kinds = quality_mil._KIND[list(t)].tolist() if t else []
+        begins = [i for i in range(len(t) - 15) if kinds[i] not in (3, 4) and (i == 0 or kinds[i - 1] in (3, 4))]
+        heads = [t[i : i + 16] for i in begins]
+        for at in range(0, max(1, len(t)), 64):
+            piece = range(at, min(at + 64, len(t)))
+            pairs = np.zeros(quality_mil._KINDS**2)
+            for i in piece:
+                pairs[kinds[i] * quality_mil._KINDS + (kinds[i + 1] if i + 1 < len(t) else 4)] += 1
+            own = [heads.count(h) > 1 for i, h in zip(begins, heads, strict=True) if i in piece]
+            asked = [*np.sqrt(pairs / max(1, len(piece))), sum(own) / max(1, len(own)), np.log1p(len(piece)) / np.log1p(64)]
+            assert x[row] == pytest.approx(asked, abs=1e-6)
+            row += 1
+    assert row == len(x)
