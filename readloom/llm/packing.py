@@ -168,7 +168,7 @@ def pack(
 ) -> DataFrame:
     """pieces (at least doc_id, piece, length from 1 to capacity) with sequence_id and offset.
 
-    Full pieces are sequences as they are. The others are dealt by a hash into shards of about per_shard pieces and
+    Full pieces are sequences as they are. The others are dealt by their place in the table, whatever their ids, into shards of about per_shard pieces and
     packed there; each round then takes fan_in shards together with at most 2 * fan_in open bins of each. pieces is
     read several times: hand in a stored table. Repeated rows are packed one by one. No pieces give no sequences.
     """
@@ -191,7 +191,7 @@ def pack(
 
     placed = stage_table(
         short.select(*names)
-        .withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+        .withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(first, schema),
         "pack-placed",

@@ -100,3 +100,13 @@ def test_payloads_come_back(spark):
     path = stage_path(spark, "test-warc")
     warc.capture(spark.createDataFrame(list(enumerate(html)), "page_id long, html string").withColumn("url", F.lit("u")).coalesce(1), path)
     assert {r["page_id"]: r["payload"] for r in warc.read_archive(spark, path, with_payload=True).collect()} == dict(enumerate(html))
+
+
+def test_pieces_without_ids_are_dealt_to_all_shards(spark, monkeypatch):
+    seen = []
+    stage = packing.stage_table
+    monkeypatch.setattr(packing, "stage_table", lambda df, name: (lambda out: seen.append(out) or out)(stage(df, name)) if name == "pack-placed" else stage(df, name))
+    pieces = spark.createDataFrame([(None, 0, 1 + i * 7 % 900) for i in range(4000)], "doc_id long, piece int, length long").repartition(5)
+    out = packing.pack(packing.stage_table(pieces, "test"), per_shard=1000)
+    assert out.count() == 4000 and out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+    assert max(r["count"] for r in seen[0].groupBy("shard").count().collect()) < 1300
