@@ -111,27 +111,44 @@ RULES = (
 
 
 def rule_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 2000, seed: int = 7, text_col: str = "text") -> list[str]:
-    """Names of rules by rejections per nanosecond on a sample of about sample_rows rows; rules that reject nothing
-    come last, cheapest first. An empty sample leaves the order given."""
+    """Names of rules in the order of rejections per nanosecond, on a sample of about sample_rows rows.
+
+    As in the cascade, rules are asked about texts that pass the base, with the base's measures taken, and a rule counts
+    what the rules before it let pass: the best comes first, then the best of what is left of the sample. Rules that
+    reject nothing more come last, cheapest first. No text that passes the base leaves the order given.
+    """
     rows = docs.count()
     sample = docs.select(text_col).sample(min(1.0, sample_rows / max(rows, 1)), seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cost, rejected = dict.fromkeys((r.name for r in rules), 0), dict.fromkeys((r.name for r in rules), 0)
+        rejected, cost = [], []
         for batch in batches:
             for text in batch.column(0):
-                text = text.as_py()
+                m = Measured(text.as_py())
+                if m.base_failed:
+                    continue
+                said, took = [], []
                 for r in rules:
-                    began, fresh = perf_counter_ns(), Measured(text)
-                    rejected[r.name] += bool(r.rejects(fresh))
-                    cost[r.name] += perf_counter_ns() - began
-        yield pa.RecordBatch.from_arrays([pa.array(list(cost)), pa.array(list(cost.values()), pa.int64()), pa.array(list(rejected.values()), pa.int64())], names=["rule", "cost", "rejected"])
-
-    found = {r["rule"]: r for r in sample.mapInArrow(run, "rule string, cost long, rejected long").groupBy("rule").agg(F.sum("cost").alias("cost"), F.sum("rejected").alias("rejected")).collect()}
-    names = [r.name for r in rules]
-    if not found or not any(x["cost"] for x in found.values()):
-        return names
-    return sorted(names, key=lambda n: (-found[n]["rejected"] / max(1, found[n]["cost"]), found[n]["cost"]))
+                    began = perf_counter_ns()
+                    said.append(bool(r.rejects(m)))
+                    took.append(perf_counter_ns() - began)
+                rejected.append(said)
+                cost.append(took)
+        yield pa.RecordBatch.from_arrays([pa.array(rejected, pa.list_(pa.bool_())), pa.array(cost, pa.list_(pa.int64()))], names=["rejected", "cost"])
+
+    found = sample.mapInArrow(run, "rejected array<boolean>, cost array<long>").collect()  # about sample_rows rows
+    left = list(range(len(rules)))
+    if not found:
+        return [r.name for r in rules]
+    cost = [max(1, sum(row["cost"][i] for row in found)) / len(found) for i in left]
+    order = []
+    while left:
+        gains = {i: sum(row["rejected"][i] for row in found) / cost[i] for i in left}
+        best = min(left, key=lambda i: (-gains[i], cost[i]))
+        order.append(rules[best].name)
+        left.remove(best)
+        found = [row for row in found if not row["rejected"][best]]
+    return order
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, order: Sequence[str] | None = None, text_col: str = "text", measures: Sequence[str] = ()) -> DataFrame:
