@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -22,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. A local session without one gets its own; a cluster must name it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file:///tmp/checkpoints/{spark.sparkContext.applicationId}"
     return path.rstrip("/")

@@ -12,7 +12,7 @@ from .common import stage_table, table, word_count
 from .licenses import oracle as license_oracle
 from .licenses import recognise
 from .line_dedup import drop_repeated_lines
-from .mixing import mix
+from .mixing import content, mix
 from .packing import pack_documents
 from .quality_rules import judge
 from .simhash import near_duplicates
@@ -121,8 +121,8 @@ def op4_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    mixed = mix(stage_table(sized, "mix-sizes"), size=F.col("size"))
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"), content(F.col("text")).alias("content"))
+    mixed = mix(stage_table(sized, "mix-sizes"), size=F.col("size"), told_by=F.col("content"))
     return mixed.select(
         "doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
         (F.col("size") * F.col("mix_copies")).alias("taken"),
@@ -131,7 +131,9 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = r"""
 with sized as (
-  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+         concat_ws(':', coalesce(doc_id::varchar, 'null'), coalesce(md5(source), 'null'), coalesce(md5(text), 'null'), (row_number() over (partition by doc_id, source, text) - 1)::varchar) as key
+  from documents),
 per as (select source, sum(size)::bigint as source_size from sized group by source),
 ranked as (
   select *, [3.0, 1.0, 2.0][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as weight,
@@ -150,7 +152,7 @@ targets as (
 rated as (
   select s.doc_id, s.size, t.source_size, t.target,
          case when t.source_size > 0 then t.target / t.source_size else 0 end as rate,
-         ('0x' || substr(md5('42:' || coalesce(s.doc_id::varchar, 'null')), 1, 13))::bigint::double / 4503599627370496::double as u
+         ('0x' || substr(md5('42:' || key), 1, 13))::bigint::double / 4503599627370496::double as u
   from sized s join targets t on s.source is not distinct from t.source)
 select doc_id, size, source_size, target,
        (size * (floor(rate) + case when u < rate - floor(rate) then 1 else 0 end))::bigint as taken
