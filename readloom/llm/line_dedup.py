@@ -272,7 +272,9 @@ def drop_repeated_lines(
     lines = (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("long")
     whole = staged.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     same = whole.where(~loses(F.xxhash64("row"))).select("rest", lines.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.col("text").cast("binary").alias("kept"))
-    cut = staged.where(loses(F.xxhash64("row"))).hint("merge").join(gone, "row", "left").select("rest", "text", "gone").mapInArrow(_rewrite(schema, least_chars), schema)
+    with short_batches(docs.sparkSession):
+        losing = staged.where(loses(F.xxhash64("row"))).hint("merge").join(gone, "row", "left").select("rest", "text", "gone")
+        cut = stage_table(losing.mapInArrow(_rewrite(schema, least_chars), schema), "line-cut")
     return same.unionByName(cut).select("rest.*", "n_lines", "n_dropped", "kept")
 
 
