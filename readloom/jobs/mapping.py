@@ -128,8 +128,7 @@ class MappingJob:
         aligned = self.store.run("aligned", self.key(*used), lambda: self.align(trimmed, contigs))
         if c.emit_unmapped:
             lost = post.route_unmapped(aligned, c.legacy_unmapped_routing, _PAIR)
-            for stream in ("R1", "R2", "SE"):
-                fastq.write_fastq(lost.where(F.col("stream") == stream), f"{c.outdir}/{c.sample}.unmapped.{stream}")
+            fastq.write_pairs(post.unmapped_pairs(lost, _PAIR), f"{c.outdir}/{c.sample}.unmapped", _PAIR)
 
         def mark() -> DataFrame:
             good = post.confident(post.mapped(aligned), c.min_mapq)
@@ -141,7 +140,7 @@ class MappingJob:
         self._table("duplicates", post.duplicate_report(marked))
         final = post.coordinate_sorted(post.deduplicated(marked), contigs).drop("unit_id")
         final.write.mode("overwrite").parquet(f"{c.outdir}/{c.sample}.final.RG")
-        sam.write_sam(self.spark.read.parquet(f"{c.outdir}/{c.sample}.final.RG"), contigs, f"{c.outdir}/{c.sample}.final.RG.sam", c.sample)
+        sam.write_sam(final, contigs, f"{c.outdir}/{c.sample}.final.RG.sam", c.sample)
         if c.damage:
             gapless = post.deduplicated(marked).where(~F.col("cigar").rlike("[^0-9M]")).withColumn("bases", F.col("seq"))
             found = damage.substitutions(align._against(gapless, contigs, max(align.read_lengths(gapless), default=1)).where("length(reference) = length(seq)"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from readloom.functions import alignment as A
 from readloom.functions import headers as H
 from readloom.operators import align, coverage, damage, limits, pairing, post, stats, trim
-from readloom.operators.stored import shared_folder
+from readloom.operators.stored import shared_folder, stored
 from readloom.sources import manifest, reports
 from readloom.sources.reference import windows
 from readloom.streaming import arrivals
@@ -71,6 +71,11 @@ VIEWS = {
     "lost": f"""select 'o' || {_s("o_orderkey")} as qname, cast(case o_custkey % 3 when 0 then case when m = 1 then 77 else 141 end when 1 then case when m = 1 then 73 else 149 end
         else case when m = 1 then 4 else 0 end end as int) as flag, substr({_dna(_s("o_orderkey"))}, m, 20) as seq, '!+5?IIIIIIIIIIIIIII!' as qual
       from {{orders}} cross join (select 1 as m union all select 2 as m) mates""",
+    # an order is a pair: its mates stand at one place of a unit's two files and share a name, but for one in 97
+    "mated": f"""select 'U' || {_s("o_orderkey % 20")} as unit_id, m as mate, cast(floor(o_orderkey / 20.0) as bigint) as ordinal,
+      case when m = 2 and o_orderkey % 97 = 0 then 'x' else 'o' end || {_s("o_orderkey")} as qname,
+      substr({_dna(_joined("o_orderkey", "m"))}, 1, cast(20 + o_custkey % 12 as int)) as seq, repeat('I', cast(20 + o_custkey % 12 as int)) as qual
+      from {{orders}} cross join (select 1 as m union all select 2 as m) mates where o_orderkey % 89 <> 0 or m = 1""",
     # single reads of all units under fifty names
     "shared": f"select 'r' || {_s('score % 50')} as qname, cast(flag & 20 as int) as flag, rname, pos, cigar, readlen, score, unit_id from {{alignments}}",
     "contigs": f"select n_nationkey as tid, 'chr' || {_s('n_nationkey')} as rname, cast(1100 as bigint) as length from {{nation}} where n_nationkey < 7",
@@ -192,19 +197,12 @@ R.add("pilot_budget_by_chunk", lambda v: limits.pilot_budget(limits.read_counts(
     select unit_id, chunk_id, reads, cast(least(reads, budget) as bigint) as take, cast(greatest(budget - reads, 0) as bigint) as left_over from b"""))
 
 
-def _mates(v: Views) -> DataFrame:
-    """Every even unit's reads with those of the next one."""
-    reads, number = v.reads, F.expr("cast(substr(unit_id, 2) as int)")
-    even = F.concat(F.lit("U"), (number - 1).cast("string"))
-    return limits.mates(reads.where(number % 2 == 0), reads.where(number % 2 == 1).withColumn("unit_id", even))
-
-
-_MATES = """, numbered as materialized (select cast(substr(unit_id, 2) as int) as u, ordinal, qname, seq from reads),
-  one as (select u // 2 as pair, * from numbered where u % 2 = 0), two as (select u // 2 as pair, * from numbered where u % 2 = 1),
-  m as (select 'U' || cast(a.u as varchar) as unit_id, a.ordinal, a.qname as qname1, a.seq as seq1, b.qname as qname2, b.seq as seq2
-    from one a join two b on a.pair = b.pair and a.ordinal = b.ordinal)"""
-R.add("mate_join", lambda v: _mates(v).select("unit_id", "ordinal", "qname1", "seq1", "qname2", "seq2"), _with("reads", body=f"{_MATES} select * from m"))
-R.add("mate_name_check", lambda v: limits.mate_name_mismatches(_mates(v)), _with("reads", body=f"{_MATES} select unit_id, ordinal, qname1, qname2 from m where qname1 <> qname2"))
+_mates = lambda v: limits.mates(v.mated.where("mate = 1"), v.mated.where("mate = 2"))
+_MATES = """, m as (select unit_id, ordinal, max(case when mate = 1 then qname end) as qname1, max(case when mate = 1 then seq end) as seq1,
+    max(case when mate = 2 then qname end) as qname2, max(case when mate = 2 then seq end) as seq2
+  from mated group by unit_id, ordinal having count(*) = 2)"""
+R.add("mate_join", lambda v: _mates(v).select("unit_id", "ordinal", "qname1", "seq1", "qname2", "seq2"), _with("mated", body=f"{_MATES} select * from m"))
+R.add("mate_name_check", lambda v: limits.mate_name_mismatches(_mates(v)), _with("mated", body=f"{_MATES} select unit_id, ordinal, qname1, qname2 from m where qname1 <> qname2"))
 R.add("resume_pending", lambda v: limits.pending(limits.chunk_ids(_chunked(v)), _chunked(v).where("unit_id in ('U3', 'U4') or ordinal < 500").select("unit_id", "chunk_id").distinct(), "unit_id", "chunk_id"),
       _with("reads", body=f", c as (select distinct unit_id, {_CHUNK} as chunk_id from reads) select * from c where unit_id not in ('U3', 'U4') and chunk_id <> '0000'"))
 
@@ -219,7 +217,13 @@ R.add("single_trim", lambda v: trim.trim_singles(v.reads.where("kind = 'SE'")).s
     , t as (select unit_id, ordinal, {_TAIL} as seq, substr(qual, 1, length({_TAIL})) as qual from reads where kind = 'SE')
     select unit_id, ordinal, 'se' as read_class, seq, qual from t where length(seq) >= 30 and {_GOOD}"""))
 _ADAPTER = "AGATCGGAAGAGC"
-R.add("adapter_trim", lambda v: trim.adapter_trimmed(v.reads.select("unit_id", "ordinal", F.concat("seq", F.lit(_ADAPTER)).alias("seq"), F.concat("qual", F.lit("I" * len(_ADAPTER))).alias("qual")), _ADAPTER).select("unit_id", "ordinal", "seq"))
+R.add("adapter_trim", lambda v: trim.adapter_trimmed(v.reads.select("unit_id", "ordinal", F.concat("seq", F.lit(_ADAPTER)).alias("seq"), F.concat("qual", F.lit("I" * len(_ADAPTER))).alias("qual")), _ADAPTER).select("unit_id", "ordinal", "seq"),
+      _with("reads", body=f"""
+    , w as (select unit_id, ordinal, seq || '{_ADAPTER}' as seq from reads),
+    o as (select unit_id, ordinal, seq, unnest(generate_series(0, length(seq) - 4)) as spot from w),
+    h as (select unit_id, ordinal, spot, substr(seq, spot + 1, {len(_ADAPTER)}) as tail from o),
+    cut as (select unit_id, ordinal, min(spot) as spot from h where hamming(tail, substr('{_ADAPTER}', 1, length(tail))) <= length(tail) // 8 group by unit_id, ordinal)
+    select unit_id, ordinal, substr(seq, 1, coalesce(spot, length(seq))) as seq from w left join cut using (unit_id, ordinal)"""))
 
 
 def _fragments(v: Views) -> DataFrame:
@@ -251,6 +255,13 @@ R.add("unmapped_route", lambda v: post.route_unmapped(v.lost), _with("lost", bod
     , u as (select *, count(*) filter ((flag & 1) <> 0) over (partition by qname) as ends from lost where (flag & 4) <> 0)
     select qname, case when ends > 1 and (flag & 64) <> 0 then 'R1' when ends > 1 and (flag & 128) <> 0 then 'R2' else 'SE' end as stream,
     case when (flag & 16) <> 0 then reverse(translate(seq, 'ACGT', 'TGCA')) else seq end as seq, case when (flag & 16) <> 0 then reverse(qual) else qual end as qual from u"""))
+R.add("unmapped_pairs_in_step", lambda v: post.unmapped_pairs(post.route_unmapped(v.lost)), _with("lost", body="""
+    , u as (select *, count(*) filter ((flag & 1) <> 0) over (partition by qname) as ends, case when (flag & 16) <> 0 then reverse(translate(seq, 'ACGT', 'TGCA')) else seq end as s,
+      case when (flag & 16) <> 0 then reverse(qual) else qual end as q from lost where (flag & 4) <> 0),
+    f as (select qname, ends > 1 and (flag & 192) <> 0 as paired, (flag & 128) <> 0 as second, s, q from u),
+    n as (select *, row_number() over (partition by qname, paired, paired and second order by s, q) as nth from f)
+    select qname, cast(nth as int) as nth, max(case when not (paired and second) then s end) as seq1, max(case when not (paired and second) then q end) as qual1,
+      max(case when paired and second then s end) as seq2, max(case when paired and second then q end) as qual2 from n group by qname, paired, nth"""))
 R.add("fixmate", lambda v: post.fix_mates(post.confident(v.pairs)).select("qname", "flag", "pos", "rnext", "pnext", "tlen"), _with("pairs", body="""
     , g as (select * from pairs where mapq >= 20)
     select a.qname, cast(case when b.qname is null then (a.flag & ~40) | 8 else (a.flag & ~40) | case when (b.flag & 16) <> 0 then 32 else 0 end end as int) as flag, a.pos,
@@ -336,12 +347,30 @@ def _read(reference: str = "reference") -> str:
     return f"case when flag = 16 then reverse(translate({reference}, 'ACGT', 'TGCA')) else {reference} end"
 
 
-R.add("align_exact_truth", lambda v: align.place_ancient(v.cut.selectExpr("read_id", f"{_read()} as seq"), v.genome, 0).select("read_id", "strand", "rname", "pos"),
+def _cut_reads(v: Views, seq: str, where: str = "true") -> DataFrame:
+    """read_id, seq cut from the genome, stored, as aligners go through their reads several times."""
+    return stored(v.cut.where(where).selectExpr("read_id", f"{seq} as seq"), "cut")
+
+
+R.add("align_exact_truth", lambda v: align.place_ancient(_cut_reads(v, _read()), v.genome, 0).select("read_id", "strand", "rname", "pos"),
       _with("genome", "cut", body="select read_id, flag as strand, rname, pos from cut"))
-R.add("align_ancient", lambda v: align.align_ancient(v.cut.selectExpr("read_id", f"{_read('(' + _DAMAGED + ')')} as seq"), v.genome).select("read_id", "flag", "rname", "pos", "cigar"),
+R.add("align_ancient", lambda v: align.align_ancient(_cut_reads(v, _read("(" + _DAMAGED + ")")), v.genome).select("read_id", "flag", "rname", "pos", "cigar"),
       _with("genome", "cut", body="select read_id, flag, rname, pos, cast(30 + 6 * l_linenumber as varchar) || 'M' as cigar from cut"))
-R.add("align_modern", lambda v: align.align_modern(v.cut.selectExpr("read_id", f"{_read()} as seq"), v.genome).select("read_id", "flag", "rname", "pos", "cigar"),
+R.add("align_modern", lambda v: align.align_modern(_cut_reads(v, _read()), v.genome).select("read_id", "flag", "rname", "pos", "cigar"),
       _with("genome", "cut", body="select read_id, flag, rname, pos, cast(30 + 6 * l_linenumber as varchar) || 'M' as cigar from cut"))
+#: Reads of 48 bases or more with a gap of one to three bases in their middle: bases left out, or more of them put in.
+_HALF, _GAP = "length(reference) // 2", "(1 + pos % 3)"
+_INDEL = {
+    "gone": f"substr(reference, 1, cast(floor(length(reference) / 2.0) as int)) || substr(reference, cast(floor(length(reference) / 2.0) + 2 + pos % 3 as int))",
+    "more": f"substr(reference, 1, cast(floor(length(reference) / 2.0) as int)) || substr('TGACCA', cast(1 + pos % 4 as int), cast(1 + pos % 3 as int)) || substr(reference, cast(floor(length(reference) / 2.0) + 1 as int))",
+}
+_GAPPED = f"(case when pos % 2 = 0 then {_INDEL['gone']} else {_INDEL['more']} end)"
+# a gap goes as far left as its bases allow: by the first place before it where the bases on its two sides differ
+_SHIFT = f"""coalesce(list_position(list_transform(range(1, {_HALF} + 1), lambda i: case when pos % 2 = 0 then substr(reference, {_HALF} - i + 1, 1) = substr(reference, {_HALF} - i + 1 + {_GAP}, 1)
+    else substr(reads, {_HALF} - i + 1, 1) = substr(reads, {_HALF} - i + 1 + {_GAP}, 1) end), false), {_HALF} + 1) - 1"""
+R.add("align_gapped", lambda v: align.align_modern(_cut_reads(v, _read(_GAPPED), "length(reference) >= 48"), v.genome).select("read_id", "flag", "rname", "pos", "cigar"),
+      _with("genome", "cut", body=f""", g as (select *, {_GAPPED} as reads from cut where length(reference) >= 48), s as (select *, {_HALF} - ({_SHIFT}) as head from g)
+    select read_id, flag, rname, pos, head::varchar || 'M' || {_GAP}::varchar || case when pos % 2 = 0 then 'D' else 'I' end || (length(reference) - head - case when pos % 2 = 0 then {_GAP} else 0 end)::varchar || 'M' as cigar from s"""))
 _AT = """, d as (select *, length(reference) as n, {damaged} as seq from cut), t as (select n, {turn_s} as s, {turn_r} as r from d), i as (select unnest(generate_series(1, 25)) as place),
     p as (select '5p' as "end", place, substr(r, place, 1) as ref, substr(s, place, 1) as alt from t join i on place <= n union all select '3p', place, substr(r, n - place + 1, 1), substr(s, n - place + 1, 1) from t join i on place <= n),
     c as (select "end", cast(place as int) as place, ref, alt, count(*) as n from p group by all)""".format(damaged=_DAMAGED, turn_s=_read("seq"), turn_r=_read())

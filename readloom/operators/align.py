@@ -1,8 +1,7 @@
-"""Reads to the reference: k-mer seeds, candidate diagonals, and verification.
+"""Reads to the reference: seeds from a stored index, candidate diagonals, and verification.
 
-Ancient reads are matched end to end within a budget of mismatches. A read with budget b is cut into b + 1 seeds; of
-any placement within the budget one seed is exact, so no placement is missed. Modern reads are matched locally, with
-their ends clipped where that scores better.
+Ancient reads are matched end to end within a budget of mismatches; seeds are chosen so that no placement within it is
+missed (see seeds). Modern reads are matched locally with gaps (see gapped), their ends clipped where that scores better.
 """
 
 from __future__ import annotations
@@ -12,12 +11,17 @@ from math import exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from readloom.functions.alignment import reverse_complement
-from readloom.sources.reference import kmers, windows
+from readloom.functions.packed import code_of
+from readloom.operators import gapped
+from readloom.operators.seeds import placements
+from readloom.operators.stored import stored
+from readloom.sources.index import ReferenceIndex
+from readloom.sources.reference import windows
 
 #: Bases of a contig in one piece, besides the overlap of the longest read: every candidate is joined with one piece.
 STEP = 1024
@@ -43,21 +47,6 @@ def read_lengths(reads: DataFrame) -> list[int]:
     return sorted(r[0] for r in reads.select(F.length("seq").alias("n")).where("n > 0").distinct().collect())
 
 
-def _budgets(budgets: dict[int, int]) -> Column:
-    """The budget of a read by its length: budgets never fall with the length, so each needs the first that has it."""
-    first: dict[int, int] = {}
-    for n, b in sorted(budgets.items()):
-        first.setdefault(b, n)
-    reached = F.filter(F.array(*[F.lit(n) for n in first.values()]), lambda n: n <= F.length("seq"))
-    return F.element_at(F.array(*[F.lit(b) for b in first]), F.size(reached))
-
-
-def _strands(reads: DataFrame) -> DataFrame:
-    """Both strands of reads, dealt out by read: a compressed file comes as one partition, however large it is."""
-    both = F.explode(F.array(F.struct(F.lit(0).alias("strand"), F.col("seq").alias("bases")), F.struct(F.lit(16).alias("strand"), reverse_complement(F.col("seq")).alias("bases"))))
-    return reads.select("read_id", "seq").repartition("read_id").select("read_id", "seq", both.alias("b")).select("read_id", F.col("b.strand").alias("strand"), F.col("b.bases").alias("bases"))
-
-
 def _against(candidates: DataFrame, contigs: DataFrame, longest: int) -> DataFrame:
     """candidates (rname, pos, bases) with reference: the bases of the contig under them, as many as it has. Contigs
     come in pieces, which are joined by place and overlap by the bases of the longest candidate."""
@@ -76,31 +65,33 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def with_mismatches(compared: DataFrame) -> DataFrame:
-    """compared (bases and reference, each pair of one length above 0) with mm: places where the two differ."""
+    """compared (bases and reference, each pair of one length above 0) with mm: places where the two differ. Letters
+    other than A, C, G, T match nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 (a, begins), (b, _) = (_flat(batch.column(batch.schema.get_field_index(c))) for c in ("bases", "reference"))
-                mm = np.add.reduceat((a != b).astype(np.int32), begins)
+                a, b = code_of(a), code_of(b)
+                mm = np.add.reduceat(((a != b) | (a > 3)).astype(np.int32), begins)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mm, pa.int32())], names=[*batch.schema.names, "mm"])
 
     return compared.mapInArrow(run, T.StructType([*compared.schema.fields, T.StructField("mm", T.IntegerType())]))
 
 
-def place_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01, most_seed: int = 24) -> DataFrame:
-    """read_id, strand, rname, pos, mm of every end-to-end placement of reads (read_id, seq) within their budget."""
-    budgets = {n: mismatch_budget(n, mismatch) for n in read_lengths(reads) or [1]}
-    asked = _strands(reads.where(F.length("seq") > 0)).withColumn("seq", F.col("bases")).withColumn("budget", _budgets(budgets))
-    step = F.expr("length(bases) div (budget + 1)")
-    seeds = asked.withColumn("step", step.cast("int")).where("step > 0").withColumn("k", F.least(F.col("step"), F.lit(most_seed)))
-    seeds = seeds.select("read_id", "strand", "bases", "budget", "k", F.explode(F.transform(F.sequence(F.lit(0), F.col("budget")), lambda i: i * F.col("step"))).alias("offset"))
-    seeds = seeds.withColumn("kmer", F.expr("substring(bases, offset + 1, k)"))
-    lengths = sorted({min(n // (b + 1), most_seed) for n, b in budgets.items()} - {0})
-    index = kmers(contigs, lengths or [most_seed], STEP)
-    candidates = seeds.join(index, ["k", "kmer"]).select("read_id", "strand", "rname", (F.col("pos") - F.col("offset")).alias("pos"), "bases", "budget").where("pos >= 1").distinct()
-    compared = _against(candidates, contigs, max(budgets)).where("octet_length(reference) = octet_length(bases)")
-    return with_mismatches(compared).where("mm <= budget").select("read_id", "strand", "rname", "pos", "mm")
+def place_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01, index: ReferenceIndex | None = None) -> DataFrame:
+    """read_id, strand, rname, pos, mm of every end-to-end placement of reads (read_id, seq) within their budget.
+
+    What the index says of the bases around a seed settles most candidates where they are found; those that reach
+    further are stored and compared with the contig whole.
+    """
+    budgets = {n: mismatch_budget(n, mismatch) for n in read_lengths(reads)}
+    found = stored(placements(reads, index or ReferenceIndex(contigs), budgets), "placements")
+    bases = F.when(F.col("strand") == 16, reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    rest = found.where("mm is null").drop("mm").join(reads.select("read_id", "seq"), "read_id").withColumn("bases", bases).drop("seq")
+    compared = _against(rest, contigs, max(budgets, default=1)).where("octet_length(reference) = octet_length(bases)")
+    columns = ("read_id", "strand", "rname", "pos", "mm")
+    return found.where("mm is not null").select(*columns).unionByName(with_mismatches(compared).where("mm <= budget").select(*columns))
 
 
 def _best_of(hits: DataFrame, cost: str) -> DataFrame:
@@ -111,13 +102,13 @@ def _best_of(hits: DataFrame, cost: str) -> DataFrame:
     return ranked.select("read_id", F.col("l")[0][cost].alias(cost), F.col("l")[0]["n"].alias("n"), F.col("l")[0]["hit"].alias("hit"), F.try_element_at("l", F.lit(2))[cost].alias("next")).select("read_id", cost, "n", "next", "hit.*")
 
 
-def align_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01) -> DataFrame:
+def align_ancient(reads: DataFrame, contigs: DataFrame, mismatch: float = 0.01, index: ReferenceIndex | None = None) -> DataFrame:
     """read_id, flag, rname, pos, mapq, cigar, mm of every read; unmapped ones have flag 4, `*` and 0.
 
     mapq is 37 for the only placement, 25 if there are worse ones, and 0 if several are best, of which the first by
     contig, place and strand is given.
     """
-    best = _best_of(place_ancient(reads.select("read_id", "seq"), contigs, mismatch), "mm")
+    best = _best_of(place_ancient(reads.select("read_id", "seq"), contigs, mismatch, index), "mm")
     mapq = F.when(F.col("n") > 1, 0).when(F.col("next").isNotNull(), 25).otherwise(37)
     return _with_unmapped(reads, best.select("read_id", "strand", "rname", "pos", mapq.alias("mapq"), "mm", F.lit(None).cast("string").alias("clipped_cigar")))
 
@@ -130,48 +121,13 @@ def _with_unmapped(reads: DataFrame, best: DataFrame) -> DataFrame:
     )
 
 
-def best_segments(bases: list[str], references: list[str], lead: list[int], match: int = 1, mismatch: int = -4) -> list[tuple[int, int, int, int]]:
-    """Score, begin, end (exclusive, on the read) and mismatches of the best stretch of each read on its diagonal;
-    lead: bases of the read before the contig's start."""
-    out = []
-    for read, ref, skip in zip(bases, references, lead, strict=True):
-        a = np.frombuffer(read.encode(), np.uint8)[skip : skip + len(ref)]
-        b = np.frombuffer(ref.encode(), np.uint8)[: len(a)]
-        if not len(b):
-            out.append((0, 0, 0, 0))
-            continue
-        total = np.concatenate([[0], np.cumsum(np.where(a[: len(b)] == b, match, mismatch))])
-        low = np.minimum.accumulate(total)
-        end = int((total - low).argmax())
-        begin = int(np.flatnonzero(total[: end + 1] == low[end])[-1])
-        out.append((int(total[end] - low[end]), begin + skip, end + skip, int((a[begin:end] != b[begin:end]).sum())))
-    return out
-
-
-def align_modern(reads: DataFrame, contigs: DataFrame, seed: int = 19, stride: int = 5, least_score: int = 30) -> DataFrame:
-    """Like align_ancient(), by local matches without gaps from exact seeds of `seed` bases. A placement's score is a
-    base's 1 less 4 for each mismatch over its best stretch; the rest is clipped. mapq grows with the distance to the
-    second score, to 60."""
-    long = _strands(reads.where(F.length("seq") >= seed))
-    at = F.explode(F.array_distinct(F.concat(F.sequence(F.lit(0), F.length("bases") - seed, F.lit(stride)), F.array(F.length("bases") - seed))))
-    seeds = long.select("read_id", "strand", "bases", at.alias("offset")).withColumn("kmer", F.expr(f"substring(bases, offset + 1, {seed})"))
-    index = kmers(contigs, [seed], STEP).select("kmer", "rname", "pos")
-    candidates = seeds.join(index, "kmer").select("read_id", "strand", "rname", (F.col("pos") - F.col("offset")).alias("pos"), "bases").distinct()
-    compared = _against(candidates, contigs, max(read_lengths(reads), default=1)).select("read_id", "strand", "rname", "pos", "bases", "reference")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pos, bases = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            found = best_segments(bases, batch.column(5).to_pylist(), [max(0, 1 - p) for p in pos])
-            rows = [(-s, p + b, "".join(f"{n}{op}" for n, op in ((b, "S"), (e - b, "M"), (len(r) - e, "S")) if n), mm) for (s, b, e, mm), p, r in zip(found, pos, bases, strict=True)]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int64()), strict=True)]], names=["read_id", "strand", "rname", "cost", "pos", "cigar", "mm"])
-
-    schema = compared.select("read_id", "strand", "rname").schema.add("cost", "long").add("pos", "long").add("cigar", "string").add("mm", "long")
-    hits = compared.mapInArrow(run, schema).where(F.col("cost") <= -least_score).dropDuplicates(["read_id", "strand", "rname", "pos", "cigar"])
-    best = _best_of(hits, "cost").join(hits.select("read_id", "strand", "rname", "pos", "cost", F.col("cigar").alias("clipped_cigar"), "mm"), ["read_id", "strand", "rname", "pos", "cost"])
+def align_modern(reads: DataFrame, contigs: DataFrame, least_score: int = 30, index: ReferenceIndex | None = None) -> DataFrame:
+    """Like align_ancient(), by local alignment with gaps of up to 16 bases: 1 for a base, -4 for a mismatch, -6 and -1
+    a base for a gap; the rest is clipped. mm counts differing bases and those of gaps. mapq grows with the distance to
+    the score of the next place, to 60."""
+    hits = gapped.gapped_hits(reads, contigs, index or ReferenceIndex(contigs), max(read_lengths(reads), default=1), least_score)
     mapq = F.when(F.col("n") > 1, 0).otherwise(F.least(F.lit(60), (F.coalesce("next", F.lit(0)) - F.col("cost")) * 2))
-    return _with_unmapped(reads, best.dropDuplicates(["read_id"]).select("read_id", "strand", "rname", "pos", mapq.alias("mapq"), "mm", "clipped_cigar"))
+    return _with_unmapped(reads, gapped.best_of(hits).select("read_id", "strand", "rname", "pos", mapq.alias("mapq"), "mm", F.col("cigar").alias("clipped_cigar")))
 
 
 def as_pairs(placed: DataFrame, largest: int = 1000, by: tuple[str, ...] = ("qname",)) -> DataFrame:

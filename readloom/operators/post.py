@@ -55,7 +55,22 @@ def route_unmapped(df: DataFrame, legacy: bool = False, by: tuple[str, ...] = ("
     stream = unmapped_stream(_flag("flag"), F.col("both").isNull(), legacy)
     seq = F.when(back, A.reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
     qual = F.when(back, F.reverse("qual")).otherwise(F.col("qual"))
-    return both.select("qname", stream.alias("stream"), seq.alias("seq"), qual.alias("qual")).where("stream is not null")
+    names = [*[c for c in by if c != "qname"], "qname"]
+    return both.select(*names, stream.alias("stream"), seq.alias("seq"), qual.alias("qual")).where("stream is not null")
+
+
+def unmapped_pairs(routed: DataFrame, by: tuple[str, ...] = ("qname",)) -> DataFrame:
+    """`by`, nth, seq1, qual1, seq2, qual2 of route_unmapped(): a row per pair, or with one end null per read alone.
+
+    A name's first R1 goes with its first R2 and so on, in the order of bases and qualities, so names that repeat lose
+    no read; a surplus end stands alone, as every SE read does.
+    """
+    nth = F.row_number().over(Window.partitionBy(*by, "stream").orderBy("seq", "qual"))
+    ends = routed.withColumn("nth", nth).withColumn("alone", F.col("stream") == "SE")
+    end = lambda c, streams: F.max(F.when(F.col("stream").isin(*streams), F.col(c)))
+    return ends.groupBy(*by, "alone", "nth").agg(
+        end("seq", ("R1", "SE")).alias("seq1"), end("qual", ("R1", "SE")).alias("qual1"), end("seq", ("R2",)).alias("seq2"), end("qual", ("R2",)).alias("qual2")
+    ).drop("alone")
 
 
 def fix_mates(df: DataFrame, by: tuple[str, ...] = ("qname",)) -> DataFrame:

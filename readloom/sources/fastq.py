@@ -25,7 +25,27 @@ def file_headers(reads: DataFrame, sample: int = 3) -> DataFrame:
     return few.select("path", F.col("h")[0]["header"].alias("header"), F.transform("h", lambda x: x["header"]).alias("header_sample"))
 
 
-def write_fastq(reads: DataFrame, path: str) -> None:
-    """Writes qname, seq, qual as gzip FASTQ, in the order of qname within each file; no reads give an empty file."""
-    record = F.concat_ws("\n", F.concat(F.lit("@"), F.col("qname")), "seq", F.lit("+"), "qual")
-    reads.sortWithinPartitions("qname").select(record.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+def write_pairs(pairs: DataFrame, path: str, by: tuple[str, ...] = ("qname",)) -> None:
+    """Writes pairs (`by`, nth, seq1, qual1, seq2, qual2) as gzip FASTQ under path.R1 and path.R2, and rows with one end
+    under path.SE. The n-th read of R1's files and the n-th of R2's are of one pair, file by file.
+
+    Rows are put in the order of `by` by one range shuffle, and a task writes its pairs' both ends, so it can't come
+    out otherwise. A stream without reads is an empty file.
+    """
+    spark, rows = pairs.sparkSession, pairs.repartitionByRange(*by, "nth")
+    both = F.col("seq1").isNotNull() & F.col("seq2").isNotNull()
+    record = lambda i: F.concat_ws("\n", F.concat(F.lit("@"), F.col("qname")), f"seq{i}", F.lit("+"), f"qual{i}")
+    out = lambda stream, text: F.struct(F.lit(stream).alias("stream"), text.alias("value"))
+    ends = F.when(both, F.array(out("R1", record(1)), out("R2", record(2)))).otherwise(F.array(out("SE", F.when(F.col("seq1").isNotNull(), record(1)).otherwise(record(2)))))
+    lines = rows.select(*by, "nth", F.explode(ends).alias("e")).sortWithinPartitions("e.stream", *by, "nth").select("e.stream", "e.value")
+    lines.write.mode("overwrite").partitionBy("stream").option("compression", "gzip").text(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for stream in ("R1", "R2", "SE"):
+        made, final = hadoop.Path(f"{path}/stream={stream}"), hadoop.Path(f"{path}.{stream}")
+        files.delete(final, True)
+        if not files.exists(made):
+            spark.createDataFrame([], "value string").coalesce(1).write.option("compression", "gzip").text(f"{path}.{stream}")
+        elif not files.rename(made, final):
+            raise OSError(f"{made} can't be renamed")
+    files.delete(hadoop.Path(path), True)

@@ -1,4 +1,4 @@
-"""Reference genomes and their k-mer index."""
+"""Reference genomes, whole and in pieces."""
 
 from __future__ import annotations
 
@@ -42,12 +42,3 @@ def windows(contigs: DataFrame, step: int = 1024, overlap: int = 1024) -> DataFr
             "rname", F.expr(f"at + cast(part as bigint) * {size}").alias("at"), F.expr(f"substring(bases, part * {size} + 1, {size + overlap})").alias("bases")
         )
     return cut.select("rname", F.expr(f"cast(at div {step} as int)").alias("window"), (F.col("at") + 1).alias("start"), "bases")
-
-
-def kmers(contigs: DataFrame, lengths: list[int], step: int = 1024) -> DataFrame:
-    """k, kmer, rname, pos: where the reference has each k-mer of each length asked for."""
-    cut = windows(contigs, step, max(lengths, default=1) - 1)
-    each = cut.select("rname", "start", "bases", F.explode(F.array(*[F.lit(k) for k in lengths])).alias("k"))
-    many = F.least(F.lit(step), F.length("bases") - F.col("k") + 1)
-    rows = each.where(F.length("bases") >= F.col("k")).select("rname", "start", "bases", "k", F.explode(F.sequence(F.lit(1), many)).alias("i"))
-    return rows.select("k", F.expr("substring(bases, i, k)").alias("kmer"), "rname", (F.col("start") + F.col("i") - 1).alias("pos"))

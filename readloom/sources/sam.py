@@ -20,7 +20,8 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 def write_sam(alignments: DataFrame, contigs: DataFrame, path: str, sample: str) -> None:
     """Writes a folder whose files, one after another, are a SAM file: part of the header, then the reads in order of
-    contig and position. alignments: range-partitioned and sorted, as in coordinate_sorted()."""
+    contig and position. alignments: what coordinate_sorted() gives, as it is. A table that was stored in between has
+    lost its order, as Spark reads files by size."""
     head = contigs.orderBy("tid").select(F.concat(F.lit("@SQ\tSN:"), "rname", F.lit("\tLN:"), "length").alias("value"))
     spark = alignments.sparkSession
     top = spark.createDataFrame([("@HD\tVN:1.6\tSO:coordinate",)], "value string").unionByName(head)

@@ -9,6 +9,7 @@ from readloom.config import MappingConfig
 from readloom.jobs.__main__ import config, parser
 from readloom.jobs.mapping import MappingJob
 from readloom.jobs.store import StageStore, with_retries
+from readloom.operators import post
 from readloom.sources import fastq, manifest, reference, sam
 
 TURN = str.maketrans("ACGT", "TGCA")
@@ -98,6 +99,49 @@ def test_run(spark, inputs, tmp_path, library):
     assert stricter.run().first()["mapped_reads_all"] == 0 and "marked" not in stricter.store.reused
 
 
+def test_sam_is_in_coordinate_order(spark, tmp_path):
+    """Whatever the sizes of the range partitions and of the files."""
+    r = random.Random(3)
+    place = lambda i: (r.choice(("c1", "c0")), r.randint(1, 40) if i % 3 else r.randint(1, 100_000))
+    rows = [(f"r{i}", 0, *place(i), 30, "4M", "*", 0, 0, "ACGT" * (1 + i % 50), "IIII" * (1 + i % 50), {"NM": "i:0"}) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags map<string, string>")
+    contigs = spark.createDataFrame([(0, "c1", 100_100), (1, "c0", 100_100)], "tid int, rname string, length long")
+    sam.write_sam(post.coordinate_sorted(df, contigs, 6), contigs, str(tmp_path / "out.sam"), "s")
+    lines = [line for f in sorted((tmp_path / "out.sam" / "reads").glob("part-*")) for line in f.read_text().splitlines()]
+    places = [(("c1", "c0").index(line.split("\t")[2]), int(line.split("\t")[3])) for line in lines]
+    assert len(lines) == 20_000 and places == sorted(places) and len(list((tmp_path / "out.sam" / "reads").glob("part-*"))) > 3
+
+
+def test_unmapped_mates_are_in_step(spark, tmp_path):
+    """Over several files and units that share names, with names that repeat within a unit and reads alone."""
+    r, rows = random.Random(6), []
+    for i in range(3000):
+        unit, name = f"u{i % 3}", f"p{i // 3 if i % 50 else 7}"
+        for mate in (1, 2) if i % 10 else (1,):
+            seq = "".join(r.choices("ACGT", k=r.randint(1, 200 if i < 500 else 20)))
+            rows.append((unit, name, (77, 141)[mate - 1], f"{mate}{seq}", "I" * (len(seq) + 1)))
+    df = spark.createDataFrame(rows, "unit_id string, qname string, flag int, seq string, qual string").repartition(5)
+    by = ("unit_id", "qname")
+    pairs = post.unmapped_pairs(post.route_unmapped(df, by=by), by)
+    partitions = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        fastq.write_pairs(pairs, str(tmp_path / "x"), by)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", partitions)
+
+    def records(stream):
+        files = [gzip.open(f, "rt").read().splitlines() for f in sorted((tmp_path / f"x.{stream}").glob("part-*"))]
+        return [[tuple(f[i : i + 4]) for i in range(0, len(f), 4)] for f in files]
+
+    one, two, alone = (records(s) for s in ("R1", "R2", "SE"))
+    assert len(one) == len(two) > 3 and [[x[0] for x in f] for f in one] == [[x[0] for x in f] for f in two]
+    assert sorted(x[1] for part in (one, two, alone) for f in part for x in f) == sorted(row[3] for row in rows)
+    assert all(x[1][0] == "1" for f in one for x in f) and all(x[1][0] == "2" for f in two for x in f) and sum(map(len, alone)) >= 200
+    fastq.write_pairs(pairs.where("false"), str(tmp_path / "x"), by)
+    assert [sum(map(len, records(s))) for s in ("R1", "R2", "SE")] == [0, 0, 0] and all(list((tmp_path / f"x.{s}").glob("part-*")) for s in ("R1", "R2", "SE"))
+
+
 def test_trim_only_and_pilot(spark, inputs, tmp_path):
     job = make(spark, inputs, tmp_path, trim_only=True, pilot_fragments=7)
     row = job.run().first()

@@ -11,7 +11,8 @@ from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.headers import direction, qname
 from readloom.operators import align, coverage, damage, limits, pairing, post, trim
-from readloom.sources.reference import kmers, windows
+from readloom.sources.index import ReferenceIndex
+from readloom.sources.reference import windows
 
 HEADERS = [  # header, further second tokens, direction, key
     ("@M1:1:FC 1:N:0:AC", [], "R1", "M1:1:FC"),
@@ -173,11 +174,20 @@ def test_substitutions_are_counted_from_both_ends(spark):
 
 
 def test_kmers_cross_pieces(spark):
-    seq = "".join(random.Random(2).choices("ACGT", k=57))
-    contigs = spark.createDataFrame([("c", seq), ("empty", "")], "rname string, seq string")
-    found = kmers(contigs, [3, 5], step=10).collect()
-    assert {(r["k"], r["kmer"], r["pos"]) for r in found} == {(k, seq[i : i + k], i + 1) for k in (3, 5) for i in range(57 - k + 1)} and len(found) == 55 + 53
-    assert windows(contigs, 10, 4).where("rname = 'c'").count() == 6
+    seq = "".join(random.Random(2).choices("ACGT", k=2570))
+    contigs = spark.createDataFrame([("c", seq), ("short", "ACGTA"), ("empty", "")], "rname string, seq string")
+    number = lambda s: sum("ACGT".index(c) << 2 * (len(s) - 1 - i) for i, c in enumerate(s))
+    for k in (3, 7):
+        light, heavy = ReferenceIndex(contigs, heavy=20).table(k)
+        found = light.where("rname is not null").unionByName(heavy.drop("part"), True).collect()
+        whole = {"c": seq, "short": "ACGTA"}
+        assert len(found) == 2570 - k + 1 + max(0, 5 - k + 1) and (heavy.count() > 0) == (k == 3)
+        for r in found:
+            s, p = whole[r["rname"]], r["pos"] - 1
+            before, after = s[max(0, p - 32) : p], s[p + k : p + k + 32]
+            assert (r["key"], r["lead"], r["tail"], r["odd"]) == (number(s[p : p + k]), len(before), len(after), False)
+            assert r["before"] % (1 << 64) == number(before) and r["after"] % (1 << 64) == number(after.ljust(32, "A"))
+    assert windows(contigs, 1000, 4).where("rname = 'c'").count() == 3
 
 
 def test_alignment_finds_every_placement(spark):
