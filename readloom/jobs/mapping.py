@@ -142,9 +142,10 @@ class MappingJob:
         final.write.mode("overwrite").parquet(f"{c.outdir}/{c.sample}.final.RG")
         sam.write_sam(final, contigs, f"{c.outdir}/{c.sample}.final.RG.sam", c.sample)
         if c.damage:
-            gapless = post.deduplicated(marked).where(~F.col("cigar").rlike("[^0-9M]")).withColumn("bases", F.col("seq"))
-            found = damage.substitutions(align._against(gapless, contigs, max(align.read_lengths(gapless), default=1)).where("length(reference) = length(seq)"))
-            for name, part in (("substitutions", found), ("profile", damage.damage_profile(found)), ("lengths", damage.fragment_lengths(gapless))):
+            reads = post.deduplicated(marked)
+            over = align.with_reference(reads, contigs)
+            found = damage.substitutions_under_cigars(over)
+            for name, part in (("substitutions", found), ("profile", damage.damage_profile(found)), ("lengths", damage.fragment_lengths(reads)), ("composition", damage.base_composition(over))):
                 part.coalesce(1).write.mode("overwrite").csv(f"{c.outdir}/{c.sample}_damage/{name}", sep="\t", header=True)
         depth = coverage.coverage_by_contig(post.deduplicated(marked), contigs, c.min_mapq)
         self._table("coverage", depth)

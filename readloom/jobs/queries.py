@@ -62,7 +62,8 @@ VIEWS = {
       cast(case when l_linenumber % 3 = 0 then 4 else 0 end + case when l_returnflag = 'R' then 16 else 0 end
         + case when l_linestatus = 'F' then 1 + case when l_linenumber % 2 = 1 then 64 else 128 end else 0 end + case when l_suppkey % 50 = 0 then 256 else 0 end as int) as flag,
       'chr' || {_s("l_suppkey % 5")} as rname, cast(l_partkey % 1000 + 1 as bigint) as pos, cast(l_quantity as int) as mapq,
-      {_s("cast(30 + 5 * l_linenumber as int)")} || 'M' as cigar, repeat('A', cast(30 + 5 * l_linenumber as int)) as seq, cast(30 + 5 * l_linenumber as bigint) as readlen,
+      {_s("cast(30 + 5 * l_linenumber as int)")} || 'M' as cigar, repeat('A', cast(30 + 5 * l_linenumber as int)) as seq,
+      substr(repeat(translate(md5('q' || {_joined("l_orderkey", "l_linenumber")}), '0123456789abcdef', '!+5?IIIIIIIIIIII'), 3), 1, cast(30 + 5 * l_linenumber as int)) as qual, cast(30 + 5 * l_linenumber as bigint) as readlen,
       cast(round(l_extendedprice * 100) as bigint) as score, 'U' || {_s("l_suppkey % 20")} as unit_id from {{lineitem}}""",
     "pairs": f"""select 'o' || {_s("o_orderkey")} as qname, cast(case when m = 1 then 99 else 147 end as int) as flag, 'chr' || {_s("o_custkey % 5")} as rname,
       cast(case when m = 1 then o_custkey % 500 + 1 else o_custkey % 500 + 51 + (o_orderkey % 3) * 10 end as bigint) as pos,
@@ -270,7 +271,7 @@ R.add("fixmate", lambda v: post.fix_mates(post.confident(v.pairs)).select("qname
     from g a left join g b on a.qname = b.qname and (a.flag & 64) <> (b.flag & 64)"""))
 _GROUPS = """, k as (select *, case when (flag & 16) <> 0 then pos + readlen - 1 else pos end as five, (flag & 2308) = 0 as counted from alignments),
   d as (select *, case when counted and row_number() over (partition by counted, rname, five, flag & 16 order by score desc, qname) > 1 then 1024 else 0 end as dup from k),
-  marked as (select qname, cast(flag | dup as int) as flag, rname, pos, mapq, seq, readlen, cigar from d)"""
+  marked as (select qname, cast(flag | dup as int) as flag, rname, pos, mapq, seq, qual, readlen, cigar from d)"""
 _marked = lambda v: post.mark_duplicates(v.alignments, F.col("score"))
 R.add("markdup_se", lambda v: _marked(v).select("qname", "flag"), _with("alignments", body=f"{_GROUPS} select qname, flag from marked"))
 R.add("markdup_pe", lambda v: post.mark_duplicates(post.confident(v.pairs), F.col("score")).select("qname", "flag"), _with("pairs", body="""
@@ -305,11 +306,11 @@ R.add("union_alignments", lambda v: v.alignments.select("qname", "flag", "rname"
 
 # --- coverage and summary ---------------------------------------------------------------------------------------
 
-_USED = f"""{_GROUPS}, used as (select rname, pos, readlen, mapq from marked where (flag & 1796) = 0 and mapq >= 20),
+_USED = f"""{_GROUPS}, used as (select rname, pos, readlen, mapq, qual from marked where (flag & 1796) = 0 and mapq >= 20),
   bases as (select rname, at, count(*) as depth from (select rname, unnest(generate_series(pos, pos + readlen - 1)) as at from used) b group by 1, 2),
   coverage as (select c.rname, cast(1 as bigint) as startpos, c.length as endpos, coalesce(n, 0) as numreads, coalesce(covered, 0) as covbases, coalesce(covered, 0) * 100.0::double / c.length as coverage,
-    coalesce(total, 0)::double / c.length as meandepth, coalesce(q, 0)::double as meanmapq from contigs c
-    left join (select rname, count(*) as n, avg(mapq) as q from used group by 1) r on r.rname = c.rname
+    coalesce(total, 0)::double / c.length as meandepth, coalesce(b, 0)::double as meanbaseq, coalesce(q, 0)::double as meanmapq from contigs c
+    left join (select rname, count(*) as n, avg(mapq) as q, sum(list_sum(list_transform(string_split(qual, ''), lambda x: ascii(x) - 33))) / sum(length(qual)) as b from used group by 1) r on r.rname = c.rname
     left join (select rname, count(*) as covered, sum(depth)::bigint as total from bases group by 1) b on b.rname = c.rname)""".replace("as at,", "as p,").replace(" at,", " p,").replace(" as at ", " as p ")
 _covered = lambda v: coverage.coverage_by_contig(_marked(v), v.contigs, 20)
 R.add("coverage_by_contig", _covered, _with("alignments", "contigs", body=f"{_USED} select * from coverage"))
@@ -378,6 +379,14 @@ _subs = lambda v: damage.substitutions(v.cut.selectExpr("flag", "reference", f"{
 R.add("damage_by_position", _subs, _with("genome", "cut", body=f'{_AT} select * from c'))
 R.add("damage_profile", lambda v: damage.damage_profile(_subs(v)), _with("genome", "cut", body=f"""{_AT} select "end", place,
     (sum(case when ("end" = '5p' and alt = 'T') or ("end" = '3p' and alt = 'A') then n else 0 end) / sum(n))::double as rate from c where ("end" = '5p' and ref = 'C') or ("end" = '3p' and ref = 'G') group by 1, 2"""))
+R.add("damage_clipped", lambda v: damage.substitutions_under_cigars(v.cut.selectExpr("flag", "reference", f"'TTTTT' || {_DAMAGED} || 'CC' as seq", "'5S' || length(reference) || 'M2S' as cigar")),
+      _with("genome", "cut", body=f'{_AT} select * from c'))
+R.add("base_composition", lambda v: damage.base_composition(align.with_reference(v.cut.selectExpr("flag", "rname", "pos", "length(reference) || 'M' as cigar"), v.genome)), _with("genome", "cut", body="""
+    , f as (select flag, substr(g.seq, greatest(c.pos - 10, 1)::int, least(c.pos - 1, 10)::int) as l, substr(g.seq, (c.pos + length(reference))::int, 10) as r from cut c join genome g using (rname)),
+    t as (select case when flag = 16 then translate(r, 'ACGT', 'TGCA') else reverse(l) end as five, case when flag = 16 then translate(reverse(l), 'ACGT', 'TGCA') else r end as three from f),
+    i as (select unnest(generate_series(1, 10)) as place)
+    select "end", cast(place as int) as place, base, count(*) as n from (select '5p' as "end", place, substr(five, place, 1) as base from t join i on place <= length(five)
+      union all select '3p', place, substr(three, place, 1) from t join i on place <= length(three)) b group by 1, 2, 3"""))
 R.add("fragment_length_hist", lambda v: damage.fragment_lengths(v.cut.selectExpr("flag", "reference as seq")), _with("genome", "cut", body="select cast(length(reference) as int) as length, case when flag = 16 then '-' else '+' end as strand, count(*) as n from cut group by 1, 2"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.functions.alignment import reverse_complement
+from readloom.functions.alignment import reference_length, reverse_complement
 from readloom.functions.packed import code_of
 from readloom.operators import gapped
 from readloom.operators.seeds import placements
@@ -57,6 +57,21 @@ def _against(candidates: DataFrame, contigs: DataFrame, longest: int) -> DataFra
     return joined.withColumn("reference", F.expr("substring(piece, cast(greatest(pos, 1) - piece_start + 1 as int), cast(length(bases) - greatest(1 - pos, 0) as int))")).drop("piece", "piece_start", "window")
 
 
+def with_reference(alignments: DataFrame, contigs: DataFrame, around: int = 10) -> DataFrame:
+    """alignments (rname, pos, cigar) with reference, the contig's bases they span, and left and right, up to `around`
+    bases before and after them. Unmapped ones are left out."""
+    size = reference_length(F.col("cigar"))
+    mapped = alignments.where("rname <> '*' and pos >= 1").withColumn("span", size.cast("int"))
+    longest = mapped.agg(F.max("span")).first()[0] or 1
+    step = min(max(STEP, longest), MOST_STEP)
+    pieces = windows(contigs, step, longest + 2 * around).select("rname", "window", F.col("start").alias("piece_start"), F.col("bases").alias("piece"))
+    begin = F.greatest(F.col("pos") - around, F.lit(1))
+    joined = mapped.withColumn("begin", begin).withColumn("window", F.expr(f"cast((begin - 1) div {step} as int)")).join(pieces, ["rname", "window"])
+    cut = lambda start, n: F.expr(f"substring(piece, cast({start} - piece_start + 1 as int), cast({n} as int))")
+    added = {"reference": cut("pos", "span"), "left": cut("begin", "pos - begin"), "right": cut("pos + span", around)}
+    return joined.withColumns(added).drop("piece", "piece_start", "window", "begin", "span")
+
+
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all strings of a column after one another, and where each begins."""
     column = column.cast(pa.large_string())

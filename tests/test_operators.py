@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from readloom.config import MappingConfig
 from readloom.functions import alignment as A
+from readloom.functions.cigars import Walk
 from readloom.functions.headers import direction, qname
 from readloom.operators import align, coverage, damage, limits, pairing, post, trim
 from readloom.sources.index import ReferenceIndex
@@ -242,6 +243,86 @@ def test_local_alignment_clips(spark):
     assert found["edge"]["pos"] == 1 and found["edge"]["cigar"] == "10S45M"
 
 
+def walked(cigar):
+    """Columns of a CIGAR: places on the read and on the reference."""
+    read = ref = 0
+    out, number = [], ""
+    for c in cigar:
+        if c.isdigit():
+            number += c
+            continue
+        for _ in range(int(number)):
+            if c in "MIDX=":
+                out.append((read if c != "D" else -1, ref if c != "I" else -1))
+            read, ref = read + (c in "MISX="), ref + (c in "MDNX=")
+        number = ""
+    return out, read, ref
+
+
+CIGARS = ["10M", "3S10M", "2H4S5M2I3M1D6M3S", "12S", "*", None, "1M1D1M1I1M", "5=1X4=", "3M100N4M", "123M", "7M2S1H", "2I3M"]
+
+
+def test_walk_equals_a_plain_walk():
+    import pyarrow as pa
+
+    walk = Walk(pa.array(["9M", *CIGARS])[1:])
+    row, read, ref = walk.columns()
+    for i, c in enumerate(CIGARS):
+        asked = walked(c)[0] if c not in ("*", None) else []
+        assert list(zip(read[row == i].tolist(), ref[row == i].tolist(), strict=True)) == asked
+
+
+def test_coverage_under_cigars(spark):
+    """Depth and base qualities against a count base by base: deletions and skips aren't covered, clips don't count."""
+    r = random.Random(12)
+    rows, depth, quality = [], {}, []
+    for i in range(200):
+        cigar = r.choice([c for c in CIGARS if c not in ("12S", "*", None)])
+        columns, n, _ = walked(cigar)
+        pos, qual = r.randint(1, 80), "".join(chr(33 + r.randint(0, 40)) for _ in range(n))
+        rows.append((f"r{i}", 0, "c", pos, 30, cigar, qual))
+        for a, b in columns:
+            if a >= 0 and b >= 0:
+                depth[pos + b] = depth.get(pos + b, 0) + 1
+                quality.append(ord(qual[a]) - 33)
+    rows.append(("odd", 0, "c", 1, 30, "5M", "II"))
+    for p in range(1, 6):
+        depth[p] = depth.get(p, 0) + 1
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, mapq int, cigar string, qual string").repartition(3)
+    contigs = spark.createDataFrame([("c", 500), ("d", 10)], "rname string, length long")
+    found = {x["rname"]: x for x in coverage.coverage_by_contig(df, contigs).collect()}
+    assert (found["c"]["covbases"], found["c"]["meandepth"]) == (len(depth), sum(depth.values()) / 500)
+    assert found["c"]["meanbaseq"] == pytest.approx(sum(quality) / len(quality)) and found["d"]["meanbaseq"] == 0
+    assert {x["depth"]: x["bases"] for x in coverage.depth_histogram(df).collect()} == {d: list(depth.values()).count(d) for d in set(depth.values())}
+
+
+def test_damage_under_cigars(spark):
+    r = random.Random(13)
+    turn = str.maketrans("ACGT", "TGCA")
+    genome = "".join(r.choices("ACGT", k=3000))
+    rows, asked, around = [], {}, {}
+    for i in range(300):
+        cigar = r.choice([c for c in CIGARS if c not in ("12S", "*", None)])
+        columns, n, m = walked(cigar)
+        flag, pos, seq = r.choice((0, 16)), r.choice((1, 5, r.randint(1, 2800), 3000 - m + 1)), "".join(r.choices("ACGT", k=n))
+        rows.append((flag, "c", pos, cigar, seq))
+        pairs = [(genome[pos - 1 + b] if b >= 0 else "-", seq[a] if a >= 0 else "-") for a, b in columns]
+        left, right = genome[max(0, pos - 11) : pos - 1][::-1], genome[pos - 1 + m : pos + 9 + m]
+        if flag:
+            pairs = [(a.translate(turn), b.translate(turn)) for a, b in pairs[::-1]]
+            left, right = right.translate(turn), left.translate(turn)
+        for end, own, out in (("5p", pairs, left), ("3p", pairs[::-1], right)):
+            for j, (a, b) in enumerate(own[:25]):
+                asked[end, j + 1, a, b] = asked.get((end, j + 1, a, b), 0) + 1
+            for j, a in enumerate(out):
+                around[end, j + 1, a] = around.get((end, j + 1, a), 0) + 1
+    df = spark.createDataFrame([*rows, (4, "*", 0, "*", "ACGT")], "flag int, rname string, pos long, cigar string, seq string").repartition(3)
+    over = align.with_reference(df, spark.createDataFrame([("c", genome)], "rname string, seq string"))
+    found = damage.substitutions_under_cigars(over).collect()
+    assert {(x["end"], x["place"], x["ref"], x["alt"]): x["n"] for x in found} == asked and len(found) == len(asked)
+    assert {(x["end"], x["place"], x["base"]): x["n"] for x in damage.base_composition(over).collect()} == around
+
+
 def test_config():
     assert MappingConfig("s").key() != MappingConfig("s", min_mapq=30).key()
     assert MappingConfig("s").key("manifest") == MappingConfig("s", min_mapq=30).key("manifest")
