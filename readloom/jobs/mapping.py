@@ -12,8 +12,9 @@ from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.headers import qname
 from readloom.jobs.store import StageStore, described, same_uri, uri
-from readloom.operators import align, coverage, damage, limits, pairing, post, stats, trim
+from readloom.operators import align, coverage, damage, limits, pairing, pairs, post, stats, trim
 from readloom.sources import fastq, manifest, reference, sam
+from readloom.sources.index import ReferenceIndex
 
 log = logging.getLogger(__name__)
 
@@ -89,8 +90,8 @@ class MappingJob:
 
         def make() -> DataFrame:
             pe = reads.where("kind = 'PE'")
-            pairs = limits.mates(pe.where("mate = 1"), pe.where("mate = 2"))
-            return trim.trim_pairs(pairs, c.min_length, c.adapter_r1, c.adapter_r2).unionByName(trim.trim_singles(reads.where("kind = 'SE'"), c.min_length, c.adapter_r1))
+            mated = limits.mates(pe.where("mate = 1"), pe.where("mate = 2"))
+            return trim.trim_pairs(mated, c.min_length, c.adapter_r1, c.adapter_r2).unionByName(trim.trim_singles(reads.where("kind = 'SE'"), c.min_length, c.adapter_r1))
 
         trimmed = self.store.run("trimmed", self.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), make)
         counts = self.store.run("raw-counts", self.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), lambda: stats.raw_counts(reads, trimmed))
@@ -104,7 +105,14 @@ class MappingJob:
         single = F.col("read_class") != "unmerged"
         used = trimmed.where(single) if c.library_type == "ancient-fast" else trimmed
         used = used.withColumn("read_id", F.concat_ws(":", "unit_id", "ordinal", "mate")).withColumn("single", single)
-        placed = align.align_modern(used, contigs) if c.library_type == "modern" else align.align_ancient(used, contigs, c.mismatch)
+        index = ReferenceIndex(contigs, f"{self.store.folder}/index")
+        if c.library_type == "modern":
+            ends = used.where("not single").withColumn("pair_id", F.concat_ws(":", "unit_id", "ordinal"))
+            together = pairs.align_pairs(ends.select("pair_id", "mate", "seq"), contigs, index).withColumn("read_id", F.concat_ws(":", "pair_id", "mate"))
+            alone = align.align_modern(used.where("single"), contigs, index=index)
+            placed = alone.unionByName(together.select(*alone.columns))
+        else:
+            placed = align.align_ancient(used, contigs, c.mismatch, index)
         whole = placed.join(used.select("read_id", "unit_id", "qname", "mate", "single", "seq", "qual"), "read_id")
         alone = whole.where("single")
         paired = align.as_pairs(whole.where("not single"), by=_PAIR)

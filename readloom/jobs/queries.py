@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions import alignment as A
 from readloom.functions import headers as H
-from readloom.operators import align, coverage, damage, limits, pairing, post, stats, trim
+from readloom.operators import align, coverage, damage, limits, pairing, pairs, post, stats, trim
 from readloom.operators.stored import shared_folder, stored
 from readloom.sources import manifest, reports
 from readloom.sources.reference import windows
@@ -86,6 +86,12 @@ GENOME = {
     "spark": f"select rname, cast(length(seq) as bigint) as length, seq from (select 'chr' || {_s('p_partkey % 4')} as rname, array_join(transform(array_sort(collect_list(named_struct('k', p_partkey, 'd', {_dna(_s('p_partkey'))}))), x -> x.d), '') as seq from {{part}} group by 'chr' || {_s('p_partkey % 4')})",
     "duckdb": f"select rname, length(seq) as length, seq from (select 'chr' || {_s('p_partkey % 4')} as rname, string_agg({_dna(_s('p_partkey'))}, '' order by p_partkey) as seq from {{part}} group by 1)",
 }
+#: A genome in which two blocks after one another, 64 bases, come back every hundred; and both ends, of 40 bases, of
+#: fragments of 150 to 190 from it.
+_BLOCK = f"md5(case when cast(floor(p_partkey / 4.0) as bigint) % 100 in (3, 4) then 'again' || {_s('cast(floor(p_partkey / 4.0) as bigint) % 100')} else {_s('p_partkey')} end)"
+REPEATS = {k: v.replace(_dna(_s("p_partkey")), f"translate({_BLOCK}, '0123456789abcdef', 'ACGTACGTACGTACGT')") for k, v in GENOME.items()}
+FRAGMENTS = f"""select {_s("o_orderkey")} as pair_id, o_orderkey % 2 = 0 as ahead, g.rname, cast((o_custkey * 7919 + o_orderkey * 31) % (g.length - 200) + 1 as bigint) as pos,
+  cast(150 + o_orderkey % 5 * 10 as int) as n from {{orders}} o join {{repeats}} g on g.rname = 'chr' || {_s("o_custkey % 4")}"""
 CUT = f"""select {_joined(*_KEY)} as read_id, g.rname, l_linenumber, cast((l_partkey * 37 + l_orderkey * 11) % (g.length - 80) + 1 as bigint) as pos,
   cast(case when l_returnflag = 'R' then 16 else 0 end as int) as flag,
   substr(g.seq, cast((l_partkey * 37 + l_orderkey * 11) % (g.length - 80) + 1 as int), cast(30 + 6 * l_linenumber as int)) as reference
@@ -106,6 +112,8 @@ class Views:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name == "cut":
             return self._cut()
+        if name == "repeats":
+            return self.spark.sql(REPEATS["spark"], part=self.part)
         sql = GENOME["spark"] if name == "genome" else VIEWS[name]
         used = {t: getattr(self, t) for t in (*TABLES, *VIEWS, "genome") if f"{{{t}}}" in sql}
         return self.spark.sql(sql, **used)
@@ -117,6 +125,16 @@ class Views:
         reference = F.expr("substring(bases, cast(pos - start + 1 as int), n)").alias("reference")
         return at.select("read_id", "rname", "l_linenumber", "pos", "flag", reference)
 
+    def ends(self) -> DataFrame:
+        """pair_id, mate, seq of both ends of fragments of the genome with repeats."""
+        fragments = self.spark.sql(FRAGMENTS, orders=self.orders, repeats=self.repeats.select("rname", "length"))
+        pieces = windows(self.repeats, align.STEP, 200).select("rname", "window", "start", "bases")
+        at = fragments.withColumn("window", F.expr(f"cast((pos - 1) div {align.STEP} as int)")).join(pieces, ["rname", "window"])
+        whole = at.withColumn("bases", F.expr("substring(bases, cast(pos - start + 1 as int), n)"))
+        left, right = F.left("bases", F.lit(40)), A.reverse_complement(F.right("bases", F.lit(40)))
+        mate = F.explode(F.array(F.struct(F.lit(1).alias("mate"), F.when(F.col("ahead"), left).otherwise(right).alias("seq")), F.struct(F.lit(2).alias("mate"), F.when(F.col("ahead"), right).otherwise(left).alias("seq"))))
+        return whole.select("pair_id", mate.alias("m")).select("pair_id", "m.*")
+
     def headers_described(self) -> DataFrame:
         h = self.headers
         return pairing.describe(h.select("idx", "header", F.array("header", "header2").alias("header_sample"), "reads"))
@@ -372,6 +390,10 @@ _SHIFT = f"""coalesce(list_position(list_transform(range(1, {_HALF} + 1), lambda
 R.add("align_gapped", lambda v: align.align_modern(_cut_reads(v, _read(_GAPPED), "length(reference) >= 48"), v.genome).select("read_id", "flag", "rname", "pos", "cigar"),
       _with("genome", "cut", body=f""", g as (select *, {_GAPPED} as reads from cut where length(reference) >= 48), s as (select *, {_HALF} - ({_SHIFT}) as head from g)
     select read_id, flag, rname, pos, head::varchar || 'M' || {_GAP}::varchar || case when pos % 2 = 0 then 'D' else 'I' end || (length(reference) - head - case when pos % 2 = 0 then {_GAP} else 0 end)::varchar || 'M' as cigar from s"""))
+R.add("align_pairs", lambda v: pairs.align_pairs(stored(v.ends(), "ends"), v.repeats).select("pair_id", "mate", "flag", "rname", "pos", "cigar", "proper"), f"""
+    with repeats as ({REPEATS['duckdb'].format(part='part')}), f as ({FRAGMENTS.format(orders='orders', repeats='repeats')})
+    select pair_id, cast(m as int) as mate, cast(case when (m = 1) = ahead then 0 else 16 end as int) as flag, rname, case when (m = 1) = ahead then pos else pos + n - 40 end as pos, '40M' as cigar, true as proper
+    from f cross join (select 1 as m union all select 2 as m) mates""")
 _AT = """, d as (select *, length(reference) as n, {damaged} as seq from cut), t as (select n, {turn_s} as s, {turn_r} as r from d), i as (select unnest(generate_series(1, 25)) as place),
     p as (select '5p' as "end", place, substr(r, place, 1) as ref, substr(s, place, 1) as alt from t join i on place <= n union all select '3p', place, substr(r, n - place + 1, 1), substr(s, n - place + 1, 1) from t join i on place <= n),
     c as (select "end", cast(place as int) as place, ref, alt, count(*) as n from p group by all)""".format(damaged=_DAMAGED, turn_s=_read("seq"), turn_r=_read())

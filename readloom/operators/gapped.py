@@ -130,40 +130,41 @@ def _candidates(reads: DataFrame, index: ReferenceIndex) -> DataFrame:
     return hits.groupBy("read_id", "strand", "rname", F.floor(F.col("at") / BIN).alias("bin")).agg(F.min("at").alias("low"), F.max("at").alias("high")).drop("bin")
 
 
-def _with_reference(candidates: DataFrame, reads: DataFrame, contigs: DataFrame, longest: int) -> DataFrame:
-    """candidates with bases of the read's strand, and reference: the contig's bases from GAP before the first diagonal
-    (or the contig's first base, `lead` places later) to GAP beyond the last."""
+def _with_reference(candidates: DataFrame, reads: DataFrame, contigs: DataFrame, longest: int, widest: int) -> DataFrame:
+    """candidates (diagonals low to high, `widest` at most) with bases of the read's strand, and reference: the contig's
+    bases from GAP before the first diagonal (or the contig's first base, `lead` places later) to GAP beyond the last."""
     size = 1024
-    while size < longest:
+    while size < longest + widest:
         size *= 2
-    pieces = windows(contigs, size, longest + BIN + 2 * GAP).select("rname", "window", F.col("start").alias("piece_start"), F.col("bases").alias("piece"))
+    pieces = windows(contigs, size, longest + widest + 2 * GAP).select("rname", "window", F.col("start").alias("piece_start"), F.col("bases").alias("piece"))
     bases = F.when(F.col("strand") == 16, reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
-    first = F.col("low") - GAP
-    at = candidates.join(reads.select("read_id", "seq"), "read_id").select("read_id", "strand", "rname", "high", bases.alias("bases"), first.alias("first"), F.greatest(first, F.lit(1)).alias("begin"))
+    first, span = F.col("low") - GAP, (F.col("high") - F.col("low")).cast("int").alias("span")
+    at = candidates.join(reads.select("read_id", "seq"), "read_id").select("read_id", "strand", "rname", "high", span, bases.alias("bases"), first.alias("first"), F.greatest(first, F.lit(1)).alias("begin"))
     joined = at.withColumn("window", F.expr(f"cast((begin - 1) div {size} as int)")).join(pieces, ["rname", "window"])
     reference = F.expr(f"substring(piece, cast(begin - piece_start + 1 as int), cast(greatest(high + length(bases) + {GAP} - begin, 0) as int))")
-    return joined.select("read_id", "strand", "rname", "first", (F.col("begin") - F.col("first")).cast("int").alias("lead"), "bases", reference.alias("reference"))
+    return joined.select("read_id", "strand", "rname", "first", (F.col("begin") - F.col("first")).cast("int").alias("lead"), "span", "bases", reference.alias("reference"))
 
 
-def gapped_hits(reads: DataFrame, contigs: DataFrame, index: ReferenceIndex, longest: int, least_score: int = 30) -> DataFrame:
-    """read_id, strand, rname, pos, cost (the score below 0), cigar, mm (differing bases, gaps too), size of every local
-    alignment of reads (read_id, seq) found from seeds, once each."""
-    pairs = _with_reference(_candidates(reads, index), reads, contigs, longest)
+def aligned(candidates: DataFrame, reads: DataFrame, contigs: DataFrame, longest: int, widest: int, least_score: int) -> DataFrame:
+    """read_id, strand, rname, pos, cost (the score below 0), cigar, mm (differing bases, gaps too), size of the best
+    local alignment of each candidate (read_id, strand, rname, low, high: its diagonals), once each."""
+    pairs = _with_reference(candidates, reads, contigs, longest, widest)
     names = ["read_id", "strand", "rname", "cost", "pos", "cigar", "mm", "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, other = Packed.of_strings(batch.column(5)), Packed.of_strings(batch.column(6))
-            first, lead = batch.column(3).to_numpy(), batch.column(4).to_numpy()
-            order = np.argsort(own.size, kind="stable")
-            for lot in np.split(order, np.flatnonzero(np.diff(own.size[order] // 64)) + 1):  # reads of like lengths together
+            own, other = Packed.of_strings(batch.column(6)), Packed.of_strings(batch.column(7))
+            first, lead, span = (batch.column(i).to_numpy() for i in (3, 4, 5))
+            order = np.lexsort((span, own.size // 64))
+            group = own.size[order] // 64 * 4096 + span[order] // 64
+            for lot in np.split(order, np.flatnonzero(np.diff(group)) + 1):  # reads and bands of like sizes together
                 if not len(lot):
                     continue
                 size = own.size[lot]
-                width = int(size.max()) + BIN + 2 * GAP
+                width = int(size.max()) + int(span[lot].max()) + 2 * GAP
                 a, b = np.full((len(lot), int(size.max())), 4, np.uint8), np.full((len(lot), width), 5, np.uint8)
                 for to, p, shift in ((a, own, np.zeros(len(lot), np.int64)), (b, other, lead[lot])):
-                    n = np.minimum(p.size[lot], to.shape[1] - shift)
+                    n = np.clip(to.shape[1] - shift, 0, p.size[lot])
                     r = np.repeat(np.arange(len(lot)), n)
                     c = np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n)
                     to[r, c + shift[r]] = p.codes[p.begin[lot][r] + c]
@@ -179,6 +180,11 @@ def gapped_hits(reads: DataFrame, contigs: DataFrame, index: ReferenceIndex, lon
     return pairs.mapInArrow(run, schema).repartition("read_id").dropDuplicates(["read_id", "strand", "rname", "pos", "cigar"])
 
 
+def gapped_hits(reads: DataFrame, contigs: DataFrame, index: ReferenceIndex, longest: int, least_score: int = 30) -> DataFrame:
+    """aligned() of all that reads' (read_id, seq) seeds lead to."""
+    return aligned(_candidates(reads, index), reads, contigs, longest, BIN, least_score)
+
+
 def best_of(hits: DataFrame) -> DataFrame:
     """Per read the hit of least cost (then by contig, place, strand and CIGAR), n, how many places have that cost, and
     next, the next place's cost. Hits on the best one's strand and contig within the read's length of it are the same
