@@ -12,7 +12,7 @@ from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.headers import qname
 from readloom.jobs.store import StageStore, described, same_uri, uri
-from readloom.operators import align, coverage, damage, limits, pairing, pairs, post, stats, trim
+from readloom.operators import adapters, align, coverage, damage, limits, pairing, pairs, post, reports, stats, trim
 from readloom.sources import fastq, manifest, reference, sam
 from readloom.sources.index import ReferenceIndex
 
@@ -91,10 +91,16 @@ class MappingJob:
         def make() -> DataFrame:
             pe = reads.where("kind = 'PE'")
             mated = limits.mates(pe.where("mate = 1"), pe.where("mate = 2"))
-            return trim.trim_pairs(mated, c.min_length, c.adapter_r1, c.adapter_r2).unionByName(trim.trim_singles(reads.where("kind = 'SE'"), c.min_length, c.adapter_r1))
+            singles = reads.where("kind = 'SE'")
+            # mates that reach into an adapter overlap, and are cut where the fragment ends; single reads have to be told
+            found = None if c.adapter_r1 else self.store.run("adapters", self.key("manifest", "pilot_fragments"), lambda: adapters.detect_adapters(singles))
+            return trim.trim_pairs(mated, c.min_length, c.adapter_r1, c.adapter_r2).unionByName(trim.trim_singles(singles, c.min_length, c.adapter_r1, found))
 
         trimmed = self.store.run("trimmed", self.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), make)
         counts = self.store.run("raw-counts", self.key("manifest", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2"), lambda: stats.raw_counts(reads, trimmed))
+        report = reports.trim_report(reads, trimmed)
+        whole = reports.as_json(report, reports.by_cycle(reads), reports.by_cycle(trimmed))
+        whole.repartition("unit_id").write.mode("overwrite").partitionBy("unit_id").text(f"{c.outdir}/{c.sample}.trim_reports")
         self.seq_mode = pairing.sequencing_mode(units).first()["seq_mode"]
         return trimmed, counts
 

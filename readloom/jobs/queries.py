@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from readloom.functions import alignment as A
 from readloom.functions import headers as H
-from readloom.operators import align, coverage, damage, limits, pairing, pairs, post, stats, trim
+from readloom.operators import adapters, align, coverage, damage, limits, pairing, pairs, post, stats, trim
+from readloom.operators import reports as trim_reports
 from readloom.operators.stored import shared_folder, stored
 from readloom.sources import manifest, reports
 from readloom.sources.reference import windows
@@ -245,6 +246,21 @@ R.add("adapter_trim", lambda v: trim.adapter_trimmed(v.reads.select("unit_id", "
     select unit_id, ordinal, substr(seq, 1, coalesce(spot, length(seq))) as seq from w left join cut using (unit_id, ordinal)"""))
 
 
+# units of three kinds end in adapters of their own, cut off after 14 bases or more; others in none
+_PLANTED = "case cast(substr(unit_id, 2) as int) % 4 when 1 then 'AGATCGGAAGAGCACACGTC' when 2 then 'CTGTCTCTTATACACATCTGA' when 3 then 'TGGAATTCTCGGGTGCCAAGG' else '' end"
+R.add("adapter_detect", lambda v: adapters.detect_adapters(v.reads.selectExpr("unit_id", f"substr(seq, 1, cast(20 + ordinal % 15 as int)) || substr({_PLANTED}, 1, cast(14 + ordinal % 8 as int)) as seq")),
+      _with("reads", body=f"select distinct unit_id, {_PLANTED} as adapter from reads where cast(substr(unit_id, 2) as int) % 4 <> 0"))
+_SUMS = "count(*) as reads, sum(length(seq)) as bases, sum(length(regexp_replace(qual, '[^5?I]', '', 'g'))) as q20, sum(length(regexp_replace(qual, '[^?I]', '', 'g'))) as q30, sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) as gc"
+R.add("trim_report", lambda v: trim_reports.trim_report(v.reads, trim.trim_singles(v.reads)), _with("reads", body=f"""
+    , t as (select unit_id, {_TAIL} as seq, substr(qual, 1, length({_TAIL})) as qual from reads),
+    a as (select unit_id, {_SUMS} from t where length(seq) >= 30 and {_GOOD} group by unit_id), b as (select unit_id, {_SUMS} from reads group by unit_id)
+    select b.unit_id, {', '.join(f'b.{c}::bigint as {c}_before, coalesce(a.{c}, 0)::bigint as {c}_after' for c in ('reads', 'bases', 'q20', 'q30', 'gc'))} from b left join a using (unit_id)"""))
+R.add("cycle_report", lambda v: trim_reports.by_cycle(v.reads), _with("reads", body="""
+    , each as (select unit_id, cycle, substr(seq, cycle, 1) as b, ascii(substr(qual, cycle, 1)) - 33 as q from (select unit_id, seq, qual, unnest(generate_series(1, length(seq))) as cycle from reads) c)
+    select unit_id, cast(cycle as int) as cycle, count(*) as n, count(*) filter (b = 'A') as a, count(*) filter (b = 'C') as c, count(*) filter (b = 'G') as g, count(*) filter (b = 'T') as t,
+      sum(q)::bigint as quality, count(*) filter (q >= 20) as q20, count(*) filter (q >= 30) as q30 from each group by unit_id, cycle"""))
+
+
 def _fragments(v: Views) -> DataFrame:
     """Both ends, 40 bases long, of fragments of 36 to 72 bases: most overlap."""
     cut = v.cut.withColumn("n", F.length("reference"))

@@ -84,6 +84,27 @@ def adapter_trimmed(reads: DataFrame, adapter: str) -> DataFrame:
     return reads.select(*rest, "seq", "qual").mapInArrow(run, schema)
 
 
+def own_adapter_trimmed(reads: DataFrame) -> DataFrame:
+    """reads (seq, qual, adapter and others) cut where the row's adapter begins; null or empty cuts nothing. Without the
+    column adapter."""
+    rest = [c for c in reads.columns if c not in ("seq", "qual", "adapter")]
+    schema = T.StructType([reads.schema[c] for c in (*rest, "seq", "qual")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seq, qual, adapter = (batch.column(len(rest) + i).to_pylist() for i in range(3))
+            ends = [len(s) for s in seq]
+            for name in {a for a in adapter if a}:
+                rows = [i for i, a in enumerate(adapter) if a == name]
+                starts = adapter_starts(*_matrix(batch.column(len(rest)).take(pa.array(rows))), name.encode())
+                for i, e in zip(rows, starts.tolist(), strict=True):
+                    ends[i] = e
+            cut = lambda column: pa.array([x[:e] for x, e in zip(column, ends, strict=True)], pa.string())  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], cut(seq), cut(qual)], names=schema.names)
+
+    return reads.select(*rest, "seq", "qual", "adapter").mapInArrow(run, schema)
+
+
 def overlaps(one: np.ndarray, n1: np.ndarray, two: np.ndarray, n2: np.ndarray, least: int = 30, most: int = 5, percent: int = 20) -> np.ndarray:
     """Where the second read, already reverse-complemented, begins on the first: the first offset of 0, 1, ... and
     then -1, -2, ... at which they overlap by `least` bases with few mismatches. A large number if at none."""
@@ -159,7 +180,10 @@ def trim_pairs(pairs: DataFrame, min_length: int = 30, adapter1: str = "", adapt
     return found.withColumn("read_class", kind).where("read_class is not null").select("unit_id", "ordinal", "read_class", F.explode(reads).alias("r")).select("unit_id", "ordinal", "read_class", "r.*")
 
 
-def trim_singles(reads: DataFrame, min_length: int = 30, adapter: str = "") -> DataFrame:
-    """The same of single reads (unit_id, ordinal, qname, seq, qual), all of class se."""
+def trim_singles(reads: DataFrame, min_length: int = 30, adapter: str = "", adapters: DataFrame | None = None) -> DataFrame:
+    """The same of single reads (unit_id, ordinal, qname, seq, qual), all of class se. adapters (unit_id, adapter, a row
+    per unit that has one) is for those units; adapter is for all."""
     cut = adapter_trimmed(poly_g_trimmed(reads.select("unit_id", "ordinal", "qname", "seq", "qual")), adapter)
+    if adapters is not None:
+        cut = own_adapter_trimmed(cut.join(adapters, "unit_id", "left"))
     return cut.where(_passes("seq", "qual", min_length)).select("unit_id", "ordinal", F.lit("se").alias("read_class"), F.lit(1).alias("mate"), "qname", "seq", "qual")

@@ -11,8 +11,9 @@ from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.cigars import Walk
 from readloom.functions.headers import direction, qname
-from readloom.operators import align, coverage, damage, limits, pairing, post, trim
+from readloom.operators import adapters, align, coverage, damage, limits, pairing, post, reports, trim
 from readloom.sources.index import ReferenceIndex
+from readloom.sources.reports import first_int
 from readloom.sources.reference import windows
 
 HEADERS = [  # header, further second tokens, direction, key
@@ -243,6 +244,54 @@ def test_local_alignment_clips(spark):
     assert found["edge"]["pos"] == 1 and found["edge"]["cigar"] == "10S45M"
 
 
+def test_adapters_are_found(spark):
+    r = random.Random(14)
+    dna = lambda n: "".join(r.choices("ACGT", k=n))
+    planted = {"a": dna(33), "b": dna(16), "c": "", "d": dna(60)}
+    rows = [(u, (dna(r.randint(25, 50)) + x + ("" if r.random() < 0.8 else "G" * 15))[: r.randint(60, 90)] if r.random() < 0.4 else dna(80)) for u, x in planted.items() for _ in range(1500)]
+    rows += [("poly", dna(30) + "A" * 30) for _ in range(500)] + [("few", dna(30) + planted["a"]) for _ in range(10)] + [("copies", dna(70))] * 400 + [("copies", dna(70)) for _ in range(600)] + [("a", ""), ("a", "ACN")]
+    found = {x["unit_id"]: x["adapter"] for x in adapters.detect_adapters(spark.createDataFrame(rows, "unit_id string, seq string").repartition(4)).collect()}
+    assert set(found) == {"a", "b", "d"} and found["a"] == planted["a"] and found["b"] == planted["b"] and planted["d"].startswith(found["d"]) and len(found["d"]) >= 25
+    assert adapters.detect_adapters(spark.createDataFrame([], "unit_id string, seq string")).count() == 0
+
+
+def test_sketches_lose_no_frequent_key():
+    r = np.random.default_rng(3)
+    keys, held = r.zipf(1.3, 200_000) % 50_000, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for part in np.array_split(keys, 40):
+        own, counts = np.unique(part, return_counts=True)
+        both, where = np.unique(np.concatenate([held[0], own]), return_inverse=True)
+        held = adapters._keep(both, np.bincount(where, weights=np.concatenate([held[1], counts])).astype(np.int64), 200)
+    true = dict(zip(*np.unique(keys, return_counts=True), strict=True))
+    kept = dict(zip(held[0].tolist(), held[1].tolist(), strict=True))
+    assert len(kept) <= 200 and all(true[k] - len(keys) / 200 <= n <= true[k] for k, n in kept.items()) and all(k in kept for k, n in true.items() if n > len(keys) / 200)
+
+
+def test_pair_adapters_are_found(spark):
+    r = random.Random(15)
+    dna = lambda n: "".join(r.choices("ACGT", k=n))
+    turn = str.maketrans("ACGT", "TGCA")
+    first, second, rows = dna(25), dna(22), []
+    for i in range(300):
+        whole = dna(r.randint(35, 90))
+        rows.append(("u", (whole + first + dna(50))[:70], (whole[::-1].translate(turn) + second + dna(50))[:70]))
+    found = {(x["unit_id"], x["mate"]): x["adapter"] for x in adapters.detect_pair_adapters(spark.createDataFrame(rows, "unit_id string, seq1 string, seq2 string")).collect()}
+    assert found == {("u", 1): first, ("u", 2): second}
+
+
+def test_trim_reports(spark):
+    before = spark.createDataFrame([("u", "ACGT", "I5!I"), ("u", "GG", "?+"), ("v", "", ""), ("u", "ANC", "III")], "unit_id string, seq string, qual string").repartition(3)
+    after = before.where("length(seq) > 2")
+    found = {x["unit_id"]: x for x in reports.trim_report(before, after).collect()}
+    assert [found["u"][c] for c in ("reads_before", "bases_before", "q20_before", "q30_before", "gc_before", "reads_after", "bases_after")] == [3, 9, 7, 6, 5, 2, 7]
+    assert [found["v"][c] for c in ("reads_before", "bases_before", "reads_after", "bases_after")] == [1, 0, 0, 0]
+    text = reports.as_json(reports.trim_report(before, after), reports.by_cycle(before), reports.by_cycle(after))
+    numbers = text.select("unit_id", first_int(F.col("value"), "summary.before_filtering.total_reads").alias("n"), first_int(F.col("value"), "summary.after_filtering.total_bases").alias("b")).collect()
+    assert {tuple(x) for x in numbers} == {("u", 3, 7), ("v", 1, 0)}
+    curve = text.where("unit_id = 'u'").select(F.from_json(F.get_json_object("value", "$.reads_before_filtering.quality_curves.quality"), "array<double>").alias("q")).first()["q"]
+    assert curve == pytest.approx([(40 + 30 + 40) / 3, (20 + 10 + 40) / 3, 20.0, 40.0])
+
+
 def walked(cigar):
     """Columns of a CIGAR: places on the read and on the reference."""
     read = ref = 0
