@@ -2,21 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.sources.lines import place
 
 
+_RECORD = "path string, ordinal long, header string, seq string, qual string, whole boolean"
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads from the lines (path, line, value) of a partition, in their order. What a split's border cuts off comes as
+    rows that have a line each."""
+    names = [x.split()[0] for x in _RECORD.split(", ")]
+    none = lambda n: pa.nulls(n, pa.string())
+
+    def rows(path: pa.Array, line: np.ndarray, value: pa.Array, last: bool) -> tuple[list[pa.RecordBatch], int]:
+        code = path.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        n = len(line)
+        begins = np.flatnonzero(line % 4 == 0)
+        full = begins[begins + 3 < n]
+        full = full[(line[full + 3] == line[full] + 3) & (code[full + 3] == code[full])]
+        out = [pa.RecordBatch.from_arrays([path.take(pa.array(full)), pa.array(line[full] // 4), *[value.take(pa.array(full + i)) for i in (0, 1, 3)], pa.array(np.ones(len(full), bool))], names=names)]
+        open_ = n
+        if not last and len(begins) and n - begins[-1] < 4 and line[-1] == line[begins[-1]] + n - 1 - begins[-1] and code[-1] == code[begins[-1]]:
+            open_ = int(begins[-1])  # it goes on in the next batch
+        cut = np.ones(n, bool)
+        cut[open_:] = False
+        for i in range(4):
+            cut[full + i] = False
+        for i in (0, 1, 3):
+            some = np.flatnonzero(cut & (line % 4 == i))
+            if len(some):
+                own = value.take(pa.array(some))
+                out.append(pa.RecordBatch.from_arrays([path.take(pa.array(some)), pa.array(line[some] // 4), *[own if i == j else none(len(some)) for j in (0, 1, 3)], pa.array(np.zeros(len(some), bool))], names=names))
+        return out, open_
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path, line, value = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
+        if held:
+            path, line, value = pa.concat_arrays([held[0], path]), np.concatenate([held[1], line]), pa.concat_arrays([held[2], value])
+        out, open_ = rows(path, line, value, False)
+        held = (path.slice(open_), line[open_:], value.slice(open_)) if open_ < len(line) else None
+        yield from out
+    if held:
+        yield from rows(*held, True)[0]
+
+
 def read_fastq(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path, ordinal, header, seq, qual. Files may be plain or gzip, of several members too, in splits of any size.
 
-    Lines are numbered by place(). A number of lines that isn't a multiple of four fails.
+    Lines are numbered by place(), and reads are put together where their lines lie; only reads that the border of a
+    split cuts through meet by a shuffle. A number of lines that isn't a multiple of four fails.
     """
     lines = place(spark.read.text(paths))
     whole = F.when(F.col("lines") % 4 != 0, F.raise_error(F.concat(F.lit("not a multiple of four lines: "), F.col("path"))).cast("boolean")).otherwise(True)
-    part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
-    return lines.where(whole).groupBy("path", F.expr("line div 4").alias("ordinal")).agg(part(0).alias("header"), part(1).alias("seq"), part(3).alias("qual"))
+    found = lines.where(whole).select("path", "line", "value").mapInArrow(_records, _RECORD)
+    reads = found.where("whole").drop("whole")
+    if all(p.endswith(".gz") for p in paths):  # such files have one split
+        return reads
+    cut = found.where("not whole").groupBy("path", "ordinal").agg(*[F.max(c).alias(c) for c in ("header", "seq", "qual")])
+    return reads.unionByName(cut)
 
 
 def file_headers(reads: DataFrame, sample: int = 3) -> DataFrame:

@@ -65,7 +65,7 @@ def test_readers_under_small_splits(spark, tmp_path):
     contigs = {f"c{i}": "".join(r.choices("ACGTacgt", k=n)) for i, n in enumerate([5000, 1, 777, 9000])}
     (tmp_path / "ref.fa").write_text("".join(f">{k} x\n" + "\n".join(v[i : i + 60] for i in range(0, len(v), 60)) + "\n" for k, v in contigs.items()))
     setting = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(setting)
+    before, batch = spark.conf.get(setting), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         spark.conf.set(setting, "2000b")
         lines = spark.read.text(str(tmp_path / "a.fastq"))
@@ -73,10 +73,20 @@ def test_readers_under_small_splits(spark, tmp_path):
         found = fastq.read_fastq(spark, [str(tmp_path / f"{x}.fastq") for x in "ab"]).collect()
         assert {(x["path"][-7], x["ordinal"], x["header"], x["seq"], x["qual"]) for x in found} == {(n, i, f"@{h}", s, q) for n, own in (("a", reads), ("b", reads[:7])) for i, (h, s, q) in enumerate(own)}
         assert len(found) == 907
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        few = fastq.read_fastq(spark, [str(tmp_path / f"{x}.fastq") for x in "ab"]).collect()
+        assert sorted(few) == sorted(found)
         rows = reference.read_fasta(spark, str(tmp_path / "ref.fa")).orderBy("tid").collect()
         assert [(x["tid"], x["rname"], x["seq"]) for x in rows] == [(i, k, v.upper()) for i, (k, v) in enumerate(contigs.items())]
     finally:
         spark.conf.set(setting, before)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def test_reads_are_put_together_where_they_lie(spark, inputs):
+    plan = fastq.read_fastq(spark, [str(inputs / "b.fastq.gz")])._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("BroadcastExchange")]
+    assert "MapInArrow" in after and "hashpartitioning" not in after  # only the table of splits is shuffled
 
 
 @pytest.mark.parametrize("library", ["modern", "ancient-all", "ancient-fast"])
