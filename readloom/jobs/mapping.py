@@ -137,9 +137,10 @@ class MappingJob:
         settings = {"sample": c.sample, "library_type": c.library_type, "seq_mode": self.seq_mode, "pilot_fragments": c.pilot_fragments, "max_reads_per_chunk": c.chunk_reads, "mapq": c.min_mapq}
         if c.trim_only:
             return self._table("stats", stats.trim_only_summary(settings, counts))
-        contigs = self.store.run("contigs", self.key("reference"), lambda: reference.read_fasta(self.spark, c.reference))
+        lines = self.store.run("reference", self.key("reference"), lambda: reference.read_fasta(self.spark, c.reference))
+        contigs = self.store.run("contigs", self.key("reference"), lambda: reference.lengths(lines))
         used = ("manifest", "reference", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2", "library_type", "mismatch")
-        aligned = self.store.run("aligned", self.key(*used), lambda: self.align(trimmed, contigs))
+        aligned = self.store.run("aligned", self.key(*used), lambda: self.align(trimmed, lines))
         if c.emit_unmapped:
             lost = post.route_unmapped(aligned, c.legacy_unmapped_routing, _PAIR)
             fastq.write_pairs(post.unmapped_pairs(lost, _PAIR), f"{c.outdir}/{c.sample}.unmapped", _PAIR)
@@ -157,7 +158,7 @@ class MappingJob:
         sam.write_sam(final, contigs, f"{c.outdir}/{c.sample}.final.RG.sam", c.sample)
         if c.damage:
             reads = post.deduplicated(marked)
-            over = align.with_reference(reads, contigs)
+            over = align.with_reference(reads, lines)
             found = damage.substitutions_under_cigars(over)
             for name, part in (("substitutions", found), ("profile", damage.damage_profile(found)), ("lengths", damage.fragment_lengths(reads)), ("composition", damage.base_composition(over))):
                 part.coalesce(1).write.mode("overwrite").csv(f"{c.outdir}/{c.sample}_damage/{name}", sep="\t", header=True)

@@ -21,7 +21,7 @@ _ROW = "key long, rname string, pos long, before long, after long, lead int, tai
 
 
 class ReferenceIndex:
-    """k-mers of contigs (rname, seq), or their minimizers among w, as tables bucketed by key.
+    """k-mers of contigs (rname, seq, or lines as read_fasta() gives them), or their minimizers among w, as tables bucketed by key.
 
     A row has the k-mer's place, the 32 bases before and after it, two bits each, how many of them the contig has, and
     whether other letters are among them. Keys with more than `heavy` places are a row without place in that table,
@@ -36,10 +36,11 @@ class ReferenceIndex:
 
     @cached_property
     def _told(self) -> tuple[str, int]:
-        """The digest and the bases of all contigs, from one row."""
+        """The digest of all contigs and how many bases they have, from one row."""
         name = F.coalesce(F.col("rname"), F.lit(""))
-        row = self.contigs.select(F.length("seq").cast("long").alias("n"), *[F.xxhash64(F.lit(i), name, "seq").alias(f"h{i}") for i in (1, 2)]).agg(
-            F.count("*").alias("contigs"), F.coalesce(F.sum("n"), F.lit(0)).alias("bases"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"),
+        parts = ["seq"] if "seq" in self.contigs.columns else ["offset", "bases"]
+        row = self.contigs.select(F.length(parts[-1]).cast("long").alias("n"), *[F.xxhash64(F.lit(i), name, *parts).alias(f"h{i}") for i in (1, 2)]).agg(
+            F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("bases"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"),
             F.sum(F.pmod("h1", F.lit(1 << 31))).alias("s1"), F.sum(F.pmod("h2", F.lit(1 << 31))).alias("s2"),
         ).first()
         return hashlib.sha256(repr((tuple(row), self.heavy)).encode()).hexdigest()[:24], int(row["bases"])

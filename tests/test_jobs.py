@@ -44,7 +44,7 @@ def test_sources(spark, inputs, tmp_path):
     assert [p.rsplit("/", 1)[1] for p in MappingJob(spark, MappingConfig("s", str(inputs / "list.txt"))).paths()] == ["a_x.fastq.gz", "a_y.fastq.gz", "b.fastq.gz"]
     reads = fastq.read_fastq(spark, [str(inputs / "b.fastq.gz"), str(inputs / "a_x.fastq.gz")])
     assert reads.count() == 240 and reads.where("ordinal = 0").count() == 2 and reads.agg({"ordinal": "max"}).first()[0] == 119
-    contigs = reference.read_fasta(spark, str(inputs / "ref.fa")).orderBy("tid").collect()
+    contigs = reference.lengths(reference.read_fasta(spark, str(inputs / "ref.fa"))).orderBy("tid").collect()
     assert [(c["tid"], c["rname"], c["length"]) for c in contigs] == [(0, "c1", 2500), (1, "c2", 1500)]
     (tmp_path / "cut.fastq").write_text("@a\nAC\n+\n")
     with pytest.raises(Exception, match="multiple of four"):
@@ -62,8 +62,8 @@ def test_readers_under_small_splits(spark, tmp_path):
     reads = [(f"r{i} 1:N", "".join(r.choices("ACGT", k=(n := r.randint(1, 90)))), "".join(r.choices("@+>I", k=n))) for i in range(900)]
     for name, part in (("a", reads), ("b", reads[:7])):
         (tmp_path / f"{name}.fastq").write_text("".join(f"@{h}\n{s}\n+\n{q}\n" for h, s, q in part))
-    contigs = {f"c{i}": "".join(r.choices("ACGTacgt", k=n)) for i, n in enumerate([5000, 1, 777, 9000])}
-    (tmp_path / "ref.fa").write_text("".join(f">{k} x\n" + "\n".join(v[i : i + 60] for i in range(0, len(v), 60)) + "\n" for k, v in contigs.items()))
+    contigs = {f"c{i}": "".join(r.choices("ACGTacgt", k=n)) for i, n in enumerate([5000, 1, 777, 0, 90_000])}
+    (tmp_path / "ref.fa").write_text("".join(f">{k} x\n" + "\n".join([v] if len(v) > 50_000 else [v[i : i + 60] for i in range(0, len(v), 60)]) + "\n" for k, v in contigs.items()))
     setting = "spark.sql.files.maxPartitionBytes"
     before, batch = spark.conf.get(setting), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
@@ -76,8 +76,18 @@ def test_readers_under_small_splits(spark, tmp_path):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
         few = fastq.read_fastq(spark, [str(tmp_path / f"{x}.fastq") for x in "ab"]).collect()
         assert sorted(few) == sorted(found)
-        rows = reference.read_fasta(spark, str(tmp_path / "ref.fa")).orderBy("tid").collect()
-        assert [(x["tid"], x["rname"], x["seq"]) for x in rows] == [(i, k, v.upper()) for i, (k, v) in enumerate(contigs.items())]
+        for _ in range(2):  # the second time in batches of seven lines
+            lines = reference.read_fasta(spark, str(tmp_path / "ref.fa"))
+            rows = sorted(lines.collect(), key=lambda x: (x["tid"], x["offset"], x["bases"]))
+            whole = {}
+            for x in rows:
+                assert len(whole.setdefault((x["tid"], x["rname"]), "")) == x["offset"]
+                whole[x["tid"], x["rname"]] += x["bases"]
+            assert list(whole.items()) == [((i, k), v.upper()) for i, (k, v) in enumerate(contigs.items())]
+            assert {tuple(x) for x in reference.lengths(lines).collect()} == {(i, k, len(v)) for i, (k, v) in enumerate(contigs.items())}
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        pieces = {(x["rname"], x["window"]): (x["start"], x["bases"]) for x in reference.windows(lines, 100, 45).collect()}
+        assert pieces == {(k, w): (100 * w + 1, v.upper()[100 * w : 100 * w + 145]) for k, v in contigs.items() for w in range(-(-len(v) // 100))}
     finally:
         spark.conf.set(setting, before)
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
