@@ -49,6 +49,14 @@ def _matrix(column: pa.Array, pad: int = 0) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(t.ljust(width, bytes([pad])) for t in texts), np.uint8).reshape(len(texts), width), sizes
 
 
+def _strings(rows: np.ndarray, sizes: np.ndarray, valid: np.ndarray | None) -> pa.Array:
+    """The first bytes of each row, as many as sizes says, as strings; null where valid says so."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    data = rows[np.arange(rows.shape[1])[None, :] < sizes[:, None]].astype(np.uint8)
+    mask = None if valid is None else pa.array(valid).buffers()[1]
+    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data), mask)
+
+
 def adapter_starts(reads: np.ndarray, sizes: np.ndarray, adapter: bytes, least: int = 4, per_mismatch: int = 8) -> np.ndarray:
     """Where in each read the adapter, or as much of it as the read's end holds, first begins with at most one mismatch
     per per_mismatch bases; the read's length if nowhere."""
@@ -135,26 +143,29 @@ def merged_pairs(pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s1, q1, s2, q2 = (batch.column(len(rest) + i).to_pylist() for i in range(4))
-            back = [s.encode().translate(_COMPLEMENT.tobytes())[::-1] for s in s2]
-            one, n1 = _matrix(batch.column(len(rest)))
-            two, n2 = _matrix(pa.array([b.decode() for b in back]), pad=1)
-            offsets = overlaps(one, n1, two, n2)
-            seqs, quals = [], []
-            for i, o in enumerate(offsets.tolist()):
-                if o == np.iinfo(np.int64).max:
-                    seqs.append(None), quals.append(None)
-                    continue
-                a, qa, b, qb = s1[i], q1[i], back[i].decode(), q2[i][::-1]
-                if o < 0:  # the fragment is shorter than the reads
-                    b, qb, o = b[-o:], qb[-o:], 0
-                    a, qa = a[: len(b)], qa[: len(b)]
-                    s1[i], q1[i], s2[i], q2[i] = a, qa, s2[i][: len(b)], q2[i][: len(b)]
-                k = min(len(a) - o, len(b))
-                pick = [(x, p) if p >= q else (y, q) for x, y, p, q in zip(a[o : o + k], b[:k], qa[o : o + k], qb[:k], strict=True)]
-                seqs.append(a[:o] + "".join(x for x, _ in pick) + (b[k:] or a[o + k :]))
-                quals.append(qa[:o] + "".join(p for _, p in pick) + (qb[k:] or qa[o + k :]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *[pa.array(x, pa.string()) for x in (s1, q1, s2, q2, seqs, quals)]], names=schema.names)
+            (one, n1), (q1, _), (two, n2), (q2, _) = (_matrix(batch.column(len(rest) + i)) for i in range(4))
+            # the second mate turned: its last base first, where it stands at the matrix's left
+            turn = np.maximum(n2[:, None] - 1 - np.arange(two.shape[1])[None, :], 0)
+            back = _COMPLEMENT[np.take_along_axis(two, turn, axis=1)]
+            back_q = np.take_along_axis(q2, turn, axis=1)
+            back[np.arange(two.shape[1])[None, :] >= n2[:, None]] = 1
+            offset = overlaps(one, n1, back, n2)
+            found = offset < np.iinfo(np.int64).max
+            offset = np.where(found, offset, 0)
+            skip = np.maximum(-offset, 0)  # the fragment is shorter than the reads: what reaches beyond it goes
+            cut2 = n2 - skip
+            cut1 = np.where(skip > 0, np.minimum(n1, cut2), n1)
+            offset = np.maximum(offset, 0)
+            size = np.where(found, np.maximum(cut1, offset + cut2), 0)
+            at = np.arange(int(size.max(initial=0)))[None, :]
+            on2 = at - offset[:, None] + skip[:, None]
+            has1, has2 = at < cut1[:, None], (at >= offset[:, None]) & (at < (offset + cut2)[:, None])
+            pick = lambda m, i: np.take_along_axis(m, np.clip(i, 0, max(0, m.shape[1] - 1)), axis=1) if m.shape[1] else np.zeros(i.shape, np.uint8)
+            first = np.broadcast_to(at, has1.shape)
+            own = has1 & (~has2 | (pick(q1, first) >= pick(back_q, on2)))
+            merged = [_strings(np.where(own, pick(m, first), pick(w, on2)), size, found) for m, w in ((one, back), (q1, back_q))]
+            ends = [_strings(m, n, None) for m, n in ((one, cut1), (q1, cut1), (two, cut2), (q2, cut2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *ends, *merged], names=schema.names)
 
     return pairs.select(*rest, *own).mapInArrow(run, schema)
 
