@@ -12,7 +12,7 @@ from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.headers import qname
 from readloom.jobs.store import StageStore, described, same_uri, uri
-from readloom.operators import adapters, align, coverage, damage, limits, pairing, pairs, post, reports, stats, trim
+from readloom.operators import adapters, align, coverage, damage, limits, pairing, pairs, post, regions, reports, stats, trim
 from readloom.sources import fastq, manifest, reference, sam
 from readloom.sources.index import ReferenceIndex
 
@@ -20,6 +20,8 @@ log = logging.getLogger(__name__)
 
 #: What names a pair: read names repeat across units.
 _PAIR = ("unit_id", "qname")
+#: Runs of the aligner that chunks are mapped in; each is kept once it is done.
+_WAVES = 8
 
 
 class MappingJob:
@@ -105,7 +107,7 @@ class MappingJob:
         return trimmed, counts
 
     def align(self, trimmed: DataFrame, contigs: DataFrame) -> DataFrame:
-        """unit_id and the columns of SAM, unmapped reads included. Merged, unpaired and single reads are
+        """unit_id, chunk_id and the columns of SAM, unmapped reads included. Merged, unpaired and single reads are
         mapped alone; unmerged pairs are left out for ancient-fast."""
         c = self.config
         single = F.col("read_class") != "unmerged"
@@ -119,12 +121,12 @@ class MappingJob:
             placed = alone.unionByName(together.select(*alone.columns))
         else:
             placed = align.align_ancient(used, contigs, c.mismatch, index)
-        whole = placed.join(used.select("read_id", "unit_id", "qname", "mate", "single", "seq", "qual"), "read_id")
+        whole = placed.join(used.select("read_id", "unit_id", "chunk_id", "qname", "mate", "single", "seq", "qual"), "read_id")
         alone = whole.where("single")
         paired = align.as_pairs(whole.where("not single"), by=_PAIR)
         back = A.has(F.col("flag"), A.REVERSE)
         return alone.unionByName(paired).select(
-            "unit_id", "qname", "flag", "rname", "pos", "mapq", "cigar", F.lit("*").alias("rnext"), F.lit(0).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"),
+            "unit_id", "chunk_id", "qname", "flag", "rname", "pos", "mapq", "cigar", F.lit("*").alias("rnext"), F.lit(0).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"),
             F.when(back, A.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"), F.when(back, F.reverse("qual")).otherwise(F.col("qual")).alias("qual"),
             F.create_map(F.lit("NM"), F.concat(F.lit("i:"), F.coalesce("mm", F.lit(0)))).alias("tags"),
         )
@@ -140,7 +142,14 @@ class MappingJob:
         lines = self.store.run("reference", self.key("reference"), lambda: reference.read_fasta(self.spark, c.reference))
         contigs = self.store.run("contigs", self.key("reference"), lambda: reference.lengths(lines))
         used = ("manifest", "reference", "pilot_fragments", "min_length", "adapter_r1", "adapter_r2", "library_type", "mismatch")
-        aligned = self.store.run("aligned", self.key(*used), lambda: self.align(trimmed, lines))
+        chunked = trimmed.withColumn("chunk_id", limits.chunk_id(F.col("ordinal"), c.chunk_reads))
+        chunks = self._table("chunks", limits.chunk_ids(chunked))
+
+        def some(wanted: DataFrame) -> DataFrame:
+            part = chunked.join(F.broadcast(wanted), ["unit_id", "chunk_id"])  # a row per chunk of a wave
+            return self.align(part, lines)
+
+        aligned = self.store.run_in_chunks("aligned", self.key(*used, "chunk_reads"), chunks, some, _WAVES if c.chunk_reads else 1).drop("chunk_id")
         if c.emit_unmapped:
             lost = post.route_unmapped(aligned, c.legacy_unmapped_routing, _PAIR)
             fastq.write_pairs(post.unmapped_pairs(lost, _PAIR), f"{c.outdir}/{c.sample}.unmapped", _PAIR)
@@ -154,7 +163,7 @@ class MappingJob:
         marked = self.store.run("marked", self.key(*used, "min_mapq", "dedup_fragment_ends", "sample"), mark)
         self._table("duplicates", post.duplicate_report(marked))
         final = post.coordinate_sorted(post.deduplicated(marked), contigs).drop("unit_id")
-        final.write.mode("overwrite").parquet(f"{c.outdir}/{c.sample}.final.RG")
+        regions.write_regions(final, f"{c.outdir}/{c.sample}.final.RG")
         sam.write_sam(final, contigs, f"{c.outdir}/{c.sample}.final.RG.sam", c.sample)
         if c.damage:
             reads = post.deduplicated(marked)

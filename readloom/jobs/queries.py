@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions import alignment as A
 from readloom.functions import headers as H
-from readloom.operators import adapters, align, coverage, damage, limits, pairing, pairs, post, stats, trim
+from readloom.operators import adapters, align, coverage, damage, limits, pairing, pairs, post, regions, stats, trim
 from readloom.operators import reports as trim_reports
 from readloom.operators.stored import shared_folder, stored
 from readloom.sources import manifest, reports
@@ -340,6 +340,13 @@ def _rank(v: Views) -> DataFrame:
 
 
 R.add("coord_sort_rank", _rank, _with("alignments", "contigs", body="select tid, pos, cast(row_number() over (partition by tid, pos order by qname, flag) - 1 as int) as nth, qname from alignments join contigs using (rname) where (flag & 4) = 0"))
+def _region(v: Views) -> DataFrame:
+    path = f"{shared_folder(v.spark)}/regions-{uuid.uuid4().hex}"
+    regions.write_regions(post.coordinate_sorted(v.alignments, v.contigs, 12).select("qname", "flag", "rname", "pos", "cigar"), path)
+    return regions.region(v.spark, path, "chr2", 240, 260)
+
+
+R.add("region_scan", _region, _with("alignments", body="select qname, flag, rname, pos, cigar from alignments where (flag & 4) = 0 and rname = 'chr2' and pos <= 260 and pos + readlen - 1 >= 240"))
 R.add("union_alignments", lambda v: v.alignments.select("qname", "flag", "rname", "pos").unionByName(v.pairs.select("qname", "flag", "rname", "pos")), _with("alignments", "pairs", body="select qname, flag, rname, pos from alignments union all select qname, flag, rname, pos from pairs"))
 
 # --- coverage and summary ---------------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def described(spark: SparkSession, path: str) -> str:
@@ -59,6 +60,36 @@ class StageStore:
             make().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def run_in_chunks(self, stage: str, key: str, chunks: DataFrame, make: Callable[[DataFrame], DataFrame], waves: int = 1) -> DataFrame:
+        """The stored table of all chunks (unit_id, chunk_id, a row each), made from those that aren't committed yet.
+
+        make gives the rows of some chunks, with their columns. Chunks are made in `waves`; each overwrites its own
+        partitions alone, and its chunks are noted as committed once it is written, so what a broken run finished stays.
+        """
+        path, by = self.path(stage, key), ["unit_id", "chunk_id"]
+        marks = f"{path}.chunks"
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        files = hadoop.Path(marks).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not self.resume:
+            for old in (marks, path):
+                files.delete(hadoop.Path(old), True)
+        left = chunks.select(*by)
+        if files.exists(hadoop.Path(marks)):
+            left = left.join(self.spark.read.schema("unit_id string, chunk_id string").parquet(marks), by, "left_anti")
+        pending = left.orderBy(*by).collect()  # a row per chunk
+        size = max(1, -(-len(pending) // max(1, waves)))
+        for at in range(0, len(pending), size):
+            some = self.spark.createDataFrame(pending[at : at + size], "unit_id string, chunk_id string")
+            make(some).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+            some.coalesce(1).write.mode("append").parquet(marks)
+        if not pending:
+            self.reused.append(stage)
+        if not files.exists(hadoop.Path(path)):  # no chunks at all
+            return make(self.spark.createDataFrame([], "unit_id string, chunk_id string"))
+        found = self.spark.read.parquet(path).schema  # which takes 0001 for a number
+        schema = StructType([StructField(f.name, StringType()) if f.name in by else f for f in found.fields])
+        return self.spark.read.schema(schema).parquet(path)
+
     def reset(self) -> None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         folder = hadoop.Path(self.folder)

@@ -85,10 +85,14 @@ class ReferenceIndex:
         mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         return bool(mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark))
 
+    def name(self, k: int, w: int = 1) -> str:
+        """What the session's catalog calls the table: a name for each place that it is stored in."""
+        return f"readloom_index_{hashlib.sha256(self._path(k, w, '').encode()).hexdigest()[:24]}"
+
     def table(self, k: int, w: int = 1) -> tuple[DataFrame, DataFrame]:
         """The table by key (rname null and parts for heavy keys), and the heavy keys' rows with their part."""
         heavy, path = self._path(k, w, "heavy"), self._path(k, w, "")
-        name = f"readloom_index_{self._told[0]}_k{k}w{w}"
+        name = self.name(k, w)
         spec = f"({_ROW}, parts long) using parquet clustered by (key) sorted by (key) into {self.buckets} buckets location '{path}'"
         if not self._done(path) or not self._done(heavy):
             self.made.append(f"k{k}w{w}")

@@ -9,7 +9,7 @@ from readloom.config import MappingConfig
 from readloom.jobs.__main__ import config, parser
 from readloom.jobs.mapping import MappingJob
 from readloom.jobs.store import StageStore, with_retries
-from readloom.operators import post
+from readloom.operators import post, regions
 from readloom.sources import fastq, manifest, reference, sam
 
 TURN = str.maketrans("ACGT", "TGCA")
@@ -119,6 +119,32 @@ def test_run(spark, inputs, tmp_path, library):
     assert stricter.run().first()["mapped_reads_all"] == 0 and "marked" not in stricter.store.reused
 
 
+def test_a_broken_run_maps_only_what_is_left(spark, inputs, tmp_path, monkeypatch):
+    asked, align_ = [], MappingJob.align
+
+    def broken(self, part, lines):
+        asked.append({(x["unit_id"], x["chunk_id"]) for x in part.select("unit_id", "chunk_id").distinct().collect()})
+        if len(asked) == 3:
+            raise RuntimeError("the machine stops")
+        return align_(self, part, lines)
+
+    monkeypatch.setattr("readloom.jobs.mapping._WAVES", 4)
+    settings = {"library_type": "ancient-all", "chunk_reads": 30}
+    with monkeypatch.context() as m:
+        m.setattr(MappingJob, "align", broken)
+        with pytest.raises(RuntimeError):
+            make(spark, inputs, tmp_path, **settings).run()
+        first = [*asked]
+        again = make(spark, inputs, tmp_path, **settings)
+        row = again.run().first()
+    every = {("PE0001", f"000{i}") for i in range(4)} | {("SE0001", f"000{i}") for i in range(4)}
+    assert len(every) == 8 and set().union(*asked[3:]) == every - first[0] - first[1] and len(first[0] | first[1]) == 4
+    whole = make(spark, inputs, tmp_path / "whole", library_type="ancient-all").run().first()
+    assert row.asDict() | {"max_reads_per_chunk": 0} == whole.asDict() | {"max_reads_per_chunk": 0}
+    assert len(spark.read.csv(f"{tmp_path}/s1.chunks", sep="\t", header=True).collect()) == 8
+    assert make(spark, inputs, tmp_path, **settings).run().first() == row
+
+
 def test_sam_is_in_coordinate_order(spark, tmp_path):
     """Whatever the sizes of the range partitions and of the files."""
     r = random.Random(3)
@@ -132,6 +158,22 @@ def test_sam_is_in_coordinate_order(spark, tmp_path):
     assert len(lines) == 20_000 and places == sorted(places) and len(list((tmp_path / "out.sam" / "reads").glob("part-*"))) > 3
 
 
+def test_regions_open_only_their_files(spark, tmp_path):
+    r = random.Random(8)
+    rows = [(f"r{i}", 4 if i % 40 == 0 else 0, *(("*", 0) if i % 40 == 0 else (r.choice(("c1", "c0")), r.randint(1, 200_000))), r.choice(("50M", "20M30000N30M", "10S40M"))) for i in range(8000)]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, cigar string")
+    contigs = spark.createDataFrame([(0, "c1"), (1, "c0")], "tid int, rname string")
+    path = str(tmp_path / "final")
+    regions.write_regions(post.coordinate_sorted(df, contigs, 16), path)
+    reach = {"50M": 50, "20M30000N30M": 30_050, "10S40M": 40}
+    for rname, start, end in (("c0", 1, 10), ("c1", 90_000, 90_100), ("c0", 199_990, 300_000), ("c1", 400_000, 500_000), ("none", 1, 9)):
+        found = regions.region(spark, path, rname, start, end)
+        asked = {x[0] for x in rows if x[2] == rname and x[3] <= end and x[3] + reach[x[4]] - 1 >= start}
+        assert {x["qname"] for x in found.collect()} == asked
+        assert len(found.inputFiles()) <= (6 if asked else 1)
+    assert len(list((tmp_path / "final").glob("part-*"))) > 12
+
+
 def test_unmapped_mates_are_in_step(spark, tmp_path):
     """Over several files and units that share names, with names that repeat within a unit and reads alone."""
     r, rows = random.Random(6), []

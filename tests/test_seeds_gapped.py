@@ -179,7 +179,7 @@ def test_the_index_is_made_once_and_not_shuffled(spark, tmp_path):
     folder = (tmp_path / "index").as_uri()
     first = ReferenceIndex(contigs, folder)
     first.table(8)
-    spark.sql(f"drop table readloom_index_{first._told[0]}_k8w1")  # another session knows no table
+    spark.sql(f"drop table {first.name(8)}")  # another session knows no table
     again = ReferenceIndex(contigs.repartition(3), folder)
     assert again.table(8)[0].count() == 5000 - 7 and first.made == ["k8w1"] and again.made == []
     setting = "spark.sql.autoBroadcastJoinThreshold"
