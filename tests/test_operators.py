@@ -255,6 +255,15 @@ def test_adapters_are_found(spark):
     assert adapters.detect_adapters(spark.createDataFrame([], "unit_id string, seq string")).count() == 0
 
 
+def test_adapters_of_reads_cut_off_evenly_keep_their_last_base(spark):
+    r = random.Random(16)
+    planted = "TGGAATTCTCGGGTGCCAAGG"
+    rows = [(f"u{n}", "".join(r.choices("ACGT", k=r.randint(25, 50))) + planted[: 14 + i % 8]) for n in (320, 326, 327) for i in range(n)]  # of 327, 40 have the last base and 41 end before it
+    rows += [("more", "".join(r.choices("ACGT", k=40)) + planted + "G" * (i % 4)) for i in range(0, 400)] + [("fewer", "".join(r.choices("ACGT", k=40)) + planted + "G" * 5 * (i % 4 == 0)) for i in range(400)]
+    found = {x["unit_id"]: x["adapter"] for x in adapters.detect_adapters(spark.createDataFrame(rows, "unit_id string, seq string").repartition(4)).collect()}
+    assert [found[u] for u in ("u320", "u326", "u327", "fewer")] == [planted] * 4 and found["more"].startswith(planted)
+
+
 def test_sketches_lose_no_frequent_key():
     r = np.random.default_rng(3)
     keys, held = r.zipf(1.3, 200_000) % 50_000, (np.zeros(0, np.int64), np.zeros(0, np.int64))
