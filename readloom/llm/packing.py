@@ -24,62 +24,114 @@ from .common import stage_table
 #: White space other than a blank and a line feed, by any reading of the term.
 _OTHER_SPACE = "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]"
 
+#: Letters that a mark ends the word after.
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
 
 class CachedEncoder:
     """Token ids as little-endian 32-bit bytes, with those of blank-separated parts remembered.
 
     Where blanks stand alone the vocabulary's pre-tokenizer never reaches across one backwards, so a text's ids are
-    those of its parts, each with its blank, one after another. Parts not yet known are encoded together, and the
-    tokens that begin with a blank tell them apart. Other texts are encoded whole.
+    those of its parts, each with its blank, one after another. So it is with single line feeds within a part, and with
+    one mark after a letter at the end of a line or part. Words not yet known are encoded together, and the tokens that
+    begin with a blank or are a line feed tell them apart. Other texts are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = 800_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 1_500_000, longest: int = 48):
         import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.longest = Tokenizer.from_file(path), most, longest
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of parts with a blank before them, and of words with a line feed before them
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.other_space = re.compile(_OTHER_SPACE).search
+        self.marks = {m: self._whole(m) for m in ".,;:!?"}
         vocabulary = self.tokenizer.get_vocab()
-        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.begins[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True  # how the vocabulary writes a blank
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True  # how the vocabulary writes a blank
+        self.feed = self.blank.copy()
+        self.feed[vocabulary["\u010a"]] = True  # and a line feed
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _parts(self, parts: list[str]) -> list[bytes]:
-        """The ids of each part with a blank before it."""
-        ids = np.array(self.tokenizer.encode(" " + " ".join(parts), add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(self.begins[ids]).tolist()
-        if len(cuts) != len(parts):
-            return [self._whole(" " + p) for p in parts]
-        flat = ids.tobytes()
-        return [flat[4 * a : 4 * b] for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+    def _encode(self, keys: list[str], begins: np.ndarray, at_once: int = 1000) -> None:
+        """Adds the ids of keys, which are words with a line feed before them, or get a blank."""
+        groups = [keys[a : a + at_once] for a in range(0, len(keys), at_once)]
+        spaced = [[k if k[0] == "\n" else " " + k for k in g] for g in groups]
+        for group, own, out in zip(groups, spaced, self.tokenizer.encode_batch_fast(["".join(x) for x in spaced], add_special_tokens=False), strict=True):
+            ids = np.array(out.ids, dtype="<u4")
+            cuts = (4 * np.flatnonzero(begins[ids])).tolist()
+            if len(cuts) != len(group):
+                self.known.update(zip(group, map(self._whole, own), strict=True))
+                continue
+            flat = ids.tobytes()
+            self.known.update(zip(group, [flat[a:b] for a, b in zip(cuts, [*cuts[1:], len(flat)], strict=True)], strict=True))
+
+    def _learn(self, missing: set[str]) -> list[str]:
+        """Adds the ids of parts that aren't known, from their words; returns what is too long to be kept."""
+        known, marks, words, odd, marked, lined = self.known, self.marks, set(), [], [], []
+        for part in missing:
+            if part.isalpha():
+                words.add(part)
+            elif "\n" in part:
+                lines = part.split("\n")
+                if all(lines[1:]):
+                    keys = [*lines[:1], *["\n" + x for x in lines[1:]]] if lines[0] else ["\n" + x for x in lines[1:]]
+                    lined.append((part, keys))
+                    for key in keys:
+                        if key not in known:
+                            if key[-1] in marks and key[-2:-1] in _LETTERS:
+                                marked.append(key)
+                                key = key[:-1]
+                            words.add(key)
+                elif lines[0]:  # line feeds that don't stand alone
+                    odd.append(part)
+                else:
+                    known[part] = self._whole(part)
+            elif not part:
+                known[part] = self._whole(" ")
+            elif part[-1] in marks and part[-2:-1] in _LETTERS:
+                marked.append(part)
+                words.add(part[:-1])
+            else:
+                words.add(part)
+        self._encode(odd, self.blank)
+        self._encode([w for w in words if w not in known], self.feed)
+        for part in marked:
+            known[part] = known[part[:-1]] + marks[part[-1]]
+        for part, keys in lined:
+            known[part] = b"".join(map(known.__getitem__, keys))
+        return [*{k for made in (missing, words, marked) for k in made if len(k) > self.longest}]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. What the texts have in long parts is forgotten afterwards."""
+        known, parts = self.known, []
+        for text in texts:
+            if (
+                not text or text[0] in " \n" or "  " in text or " \n" in text or "\n " in text or self.other_space(text)
+                or any(s in text for s in self.special)
+            ):
+                parts.append(None)
+                continue
+            own = text.split(" ")
+            own[0] = "\n" + own[0]  # the first has no blank: encoded after a line feed, which is cut off
+            parts.append(own)
+        found = set().union(*[own for own in parts if own])
+        missing = found.difference(known)
+        if len(known) + len(missing) > self.most:
+            known.clear()
+            missing = found
+        long, get = self._learn(missing), known.__getitem__
+        out = [b"".join(map(get, own))[4:] if own else self._whole(text) for text, own in zip(texts, parts, strict=True)]
+        for key in long:
+            del known[key]
+        return out
 
     def __call__(self, text: str) -> bytes:
-        if (
-            "  " in text or " \n" in text or "\n " in text or self.other_space(text)
-            or any(s in text for s in self.special)
-        ):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        known, long = self.known, {}
-        if missing := set(rest).difference(known):
-            if len(known) > self.most:
-                known.clear()
-                missing = set(rest)
-            if "" in missing:
-                known[""] = self._whole(" ")
-                missing.discard("")
-            if parts := list(missing):
-                for p, ids in zip(parts, self._parts(parts), strict=True):
-                    (known if len(p) <= self.longest else long)[p] = ids
-        if long:
-            return (self._whole(first) if first else b"") + b"".join([known[p] if p in known else long[p] for p in rest])
-        return (self._whole(first) if first else b"") + b"".join(map(known.__getitem__, rest))
+        return self.many([text])[0]
 
 
 _encoders: dict[str, CachedEncoder] = {}
@@ -112,11 +164,11 @@ def tokenise(
 
         encode, end = _encoder(public_tokenizers.path(vocabulary)), int(end_id).to_bytes(4, "little")
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 50):
+                batch = whole.slice(at, 50)
                 rows, piece, start, length, crc, kept = [], [], [], [], [], []
-                for row, text in enumerate(batch.column(1)):
-                    ids = encode(text.as_py() or "") + end
+                for row, ids in enumerate(encode.many([text or "" for text in batch.column(1).to_pylist()])):
+                    ids += end
                     n, a, k = len(ids) // 4, 0, 0
                     while a < n:
                         b = a + (capacity if n == capacity or a or n % capacity == 0 else n % capacity)

@@ -36,6 +36,23 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         assert encode(t) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), repr(t)
 
 
+def test_encoder_learns_words_once_for_many_texts(tokenizer):
+    import public_tokenizers
+
+    r = random.Random(2)
+    some = ["word", "word.", "Word,", ".", "\n", "?!", "a.b", "é.", "don't.", "x" * 60 + ".", "12;", "foo\n\nbar", "\nWord", "end.\nWord.", "...", "S", "'s."]
+    texts = ["", "\n", ".\nWord", "\n\nWord a", "word\n", "x.\n.\n!", "a\n\nb c"] + ["".join(x + r.choice([" ", " ", " ", "\n", ""]) for x in r.choices(some, k=r.randint(1, 12))) for _ in range(800)]
+    asked = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for most in (20, 100_000):
+        encode = packing.CachedEncoder(public_tokenizers.path("byte_bpe_50k.json"), most)
+        assert [x for a in range(0, len(texts), 60) for x in encode.many(texts[a : a + 60])] == asked
+        assert max(map(len, encode.known)) <= encode.longest
+    learned, keep = [], encode._encode
+    encode._encode = lambda keys, begins: learned.extend(keys) or keep(keys, begins)
+    encode.many(["a Newword b", "a Newword, b", "a Newword.\nOther b", "a\nNewword. b"])
+    assert {k for k in learned if "w" in k} == {"Newword", "\nNewword"} and len(learned) == len(set(learned))
+
+
 def bins_of(found, capacity):
     bins = {}
     for r in found:
