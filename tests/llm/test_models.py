@@ -122,6 +122,25 @@ def test_kneser_ney_equals_the_plain_one(spark, order):
             assert logs[(word == j) & (place > 0)][:, i] == pytest.approx(asked, abs=1e-4)
 
 
+@pytest.mark.parametrize("most", [1, 4, 8])
+def test_texts_are_scored_by_all_grams_whatever_the_arrays_hold(spark, most):
+    order, r = 4, random.Random(5)
+    texts = ["".join(r.choices("abcdz", k=r.randint(1, 9))) + " " + " ".join(r.choices([*COUNTS["a"], *COUNTS["b"]], k=3)) for _ in range(60)] + [None, "12 -", "Abba, ABBA!", "abba abba"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "sums long, text string").repartition(3)
+    whole, small = fitted(spark, order), fitted(spark, order, most)
+    assert whole.rest is None and small.rest and sum(map(len, small.grams)) < sum(map(len, whole.grams))
+    asked, found = [{x["sums"]: x for x in langid.predict(docs, m).collect()} for m in (whole, small)]
+    assert len(asked) == len(found) == len(texts)
+    symbols, p = len(set("".join("".join(c) for c in COUNTS.values()))) + 1, [plain_kneser_ney(COUNTS[x], order) for x in whole.languages]
+    for i, text in enumerate(texts):
+        words_ = [w for w in (langid.letters(t) for t in (text or "").lower().split()) if w]
+        assert found[i]["lang_pred"] == asked[i]["lang_pred"] and found[i]["accepted"] == asked[i]["accepted"] == bool(words_)
+        if words_:
+            logs = [[np.log2(q(f"^{w}$"[:end], f"^{w}$"[end], order, symbols)) for w in words_ for end in range(1, len(w) + 2)] for q in p]
+            assert [found[i]["bits"], asked[i]["bits"]] == pytest.approx([min(-np.mean(x) for x in logs)] * 2, abs=1e-4)
+            assert found[i]["score"] == pytest.approx(asked[i]["score"], abs=1e-4)
+
+
 def test_all_words_of_all_rows_are_counted(spark):
     texts = [("a", "Ab ab, c1d"), ("a", "AB"), ("b", "ab 12 --"), ("b", None), ("a", "")]
     found = langid.count_words(spark.createDataFrame(texts, "lang string, text string").repartition(2), most=1).collect()
