@@ -141,6 +141,18 @@ def test_texts_are_scored_by_all_grams_whatever_the_arrays_hold(spark, most):
             assert found[i]["score"] == pytest.approx(asked[i]["score"], abs=1e-4)
 
 
+def test_words_of_many_texts_are_scored_at_once(spark):
+    model = fitted(spark, 4)
+    texts, calls, keep = ["abba, cab", None, "", "dd 12 Cab", "abba! zz"] * 20, [], model.score
+    one = [langid.Scorer(model).many([t])[0][0] for t in texts]
+    model.score = lambda words_: calls.append(words_) or keep(words_)
+    for most in (1_000_000, 4):
+        calls.clear()
+        scorer = langid.Scorer(model, most)
+        assert np.array([x for a in range(0, 100, 50) for x in scorer.many(texts[a : a + 50])[0]]) == pytest.approx(np.array(one), abs=1e-4)
+        assert [sorted(c) for c in calls] == [["abba", "cab", "dd", "zz"]] * (1 if most > 4 else 2)
+
+
 def test_all_words_of_all_rows_are_counted(spark):
     texts = [("a", "Ab ab, c1d"), ("a", "AB"), ("b", "ab 12 --"), ("b", None), ("a", "")]
     found = langid.count_words(spark.createDataFrame(texts, "lang string, text string").repartition(2), most=1).collect()
