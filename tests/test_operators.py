@@ -113,6 +113,31 @@ def test_reads_that_share_a_name_stand_by_themselves(spark):
     assert (report["examined"], report["duplicate_paired"], report["duplicate_single"]) == (9, 2, 2) and report["duplicate_share"] == 4 / 9
 
 
+def test_duplicates_without_a_shuffle_of_reads(spark, monkeypatch):
+    """Where reads begin at few places, none is shuffled; with many, the verdicts are the same."""
+    r = random.Random(8)
+    rows = []
+    for i in range(3000):
+        n = r.choice((1, 2, 2, 3))  # reads of a name: alone, a pair, or one too many
+        for j in range(n):
+            flag = (1 + (64 if j == 0 else 128) if n > 1 or r.random() < 0.3 else 0) + r.choice((0, 0, 16)) + (r.choice((4, 256, 1024)) if r.random() < 0.1 else 0)
+            rows.append((f"q{i}" if i % 50 else None, flag, f"c{r.randint(0, 1)}", r.randint(1, 2000), r.choice(("20M", "3S17M", "17M3S")), r.randint(0, 5)))
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, cigar string, score long").repartition(5)
+    told = lambda **more: sorted(map(str, post.mark_duplicates(df, F.col("score"), **more).collect()))
+    few = told(), told(fragment_ends=True)
+    assert 300 < sum(int(x.split("flag=")[1].split(",")[0]) & 1024 > 0 for x in few[0]) < len(rows) and few[0] != few[1]
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "-1")
+        plan = post.mark_duplicates(df, F.col("score"))._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
+        monkeypatch.setattr(post, "FEW", 0)
+        assert (told(), told(fragment_ends=True)) == few
+    finally:
+        spark.conf.set(setting, before)
+
+
 @pytest.mark.parametrize("size", [7, 64, 1 << 20])
 def test_depth_equals_counting(spark, size):
     r = random.Random(1)
