@@ -11,7 +11,7 @@ from readloom.config import MappingConfig
 from readloom.functions import alignment as A
 from readloom.functions.cigars import Walk
 from readloom.functions.headers import direction, qname
-from readloom.operators import adapters, align, coverage, damage, limits, pairing, post, reports, trim
+from readloom.operators import adapters, align, coverage, damage, limits, pairing, post, reports, stored, trim
 from readloom.sources.index import ReferenceIndex
 from readloom.sources.reports import first_int
 from readloom.sources.reference import windows
@@ -132,7 +132,7 @@ def test_duplicates_without_a_shuffle_of_reads(spark, monkeypatch):
         spark.conf.set(setting, "-1")
         plan = post.mark_duplicates(df, F.col("score"))._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
-        monkeypatch.setattr(post, "FEW", 0)
+        monkeypatch.setattr(stored, "FEW", 0)
         assert (told(), told(fragment_ends=True)) == few
     finally:
         spark.conf.set(setting, before)

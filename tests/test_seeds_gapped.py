@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.functions import packed
-from readloom.operators import align, gapped, seeds
+from readloom.operators import align, gapped, seeds, stored
 from readloom.sources.index import ReferenceIndex
 
 TURN = str.maketrans("ACGT", "TGCA")
@@ -210,3 +210,29 @@ def test_tandem_repeat_keeps_tasks_even(spark):
     assert light.where("rname is not null").groupBy("key").count().agg(F.max("count")).first()[0] <= 256
     sizes = [x["count"] for x in heavy.groupBy("key", "part").count().collect()]
     assert max(sizes) < 2 * 256 and len(sizes) > 31 * 5
+
+
+def test_waves_and_the_filter_lose_nothing(spark, monkeypatch):
+    """The same placements and alignments from reads in many waves; most seeds are never shuffled; a k-mer with another
+    letter is found by a stretch that may have a mismatch."""
+    r = random.Random(10)
+    genome = "".join(r.choices("ACGT", k=30_000))
+    genome = genome[:500] + "N" + genome[501:]
+    contigs = spark.createDataFrame([("c", genome)], "rname string, seq string")
+    starts = [470, 480, 490] + [r.randint(0, 29_900) for _ in range(200)]
+    reads = [(i, "".join("ACGTN"[r.randint(0, 4)] if r.random() < 0.02 else b for b in genome[p : p + 48])) for i, p in enumerate(starts)]
+    df, index = spark.createDataFrame(reads, "read_id long, seq string"), ReferenceIndex(contigs)
+    told = lambda f: sorted(map(str, f(df, contigs, index=index).collect()))
+    once = told(align.place_ancient), told(align.align_modern)
+    budget = align.mismatch_budget(48, 0.01)
+    mm = lambda p, s: sum(a != b or a == "N" for a, b in zip(s, genome[p : p + 48], strict=True))
+    own = {(i, p + 1) for (i, s), p in zip(reads, starts, strict=True) if mm(p, s) <= budget}
+    assert len(own) > 190 and own <= {(x["read_id"], x["pos"]) for x in align.place_ancient(df, contigs, index=index).collect()}
+    assert len(list(stored.waves(df, 6000, 600))) == 10 and sum(part.count() for part in stored.waves(df, 6000, 600)) == len(reads)
+    for module in (align, gapped):
+        monkeypatch.setattr(module, "waves", lambda df, rows, most: stored.waves(df, 7, 1))
+    assert (told(align.place_ancient), told(align.align_modern)) == once
+    plans = {48: seeds.Plan(budget, 3, 16, 1, 11)}
+    every, some = (seeds.exact_seeds(df, plans, known).withColumnRenamed("odd", "odd_read") for known in (None, {11: index.filter(11)}))
+    assert some.count() < every.count() / 4
+    assert own <= {(x["read_id"], x["pos"]) for x in seeds.placed(index.hits(some, 11)).collect()}
