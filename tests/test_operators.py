@@ -113,6 +113,27 @@ def test_reads_that_share_a_name_stand_by_themselves(spark):
     assert (report["examined"], report["duplicate_paired"], report["duplicate_single"]) == (9, 2, 2) and report["duplicate_share"] == 4 / 9
 
 
+def test_bases_around_adapter_kmers_are_counted_in_tasks(spark):
+    """The counts of the plain way, a row per read, k-mer, side and base, from no more rows than there are counts a task."""
+    r = random.Random(11)
+    kmers = {"u1": ("ACGTACGTAACC", "GGATTACAGGCA"), "u2": ("ACGTACGTAACC", "TTTTGGGGCCCA")}
+    rows = [(u, "".join(r.choices("ACGTN", k=r.randint(0, 50))) + (r.choice(kmers.get(u, ("",))) * r.randint(0, 2)) + "".join(r.choices("ACGT", k=r.randint(0, 50)))) for u in ("u1", "u2", "u3") for _ in range(300)]
+    code = lambda s: sum("ACGT".index(c) << 2 * (11 - i) for i, c in enumerate(s))
+    df = spark.createDataFrame(rows, "unit_id string, tail string").repartition(3)
+    asked = {}
+    for u, s in rows:
+        for kmer in kmers.get(u, ()):
+            if (at := s.find(kmer)) >= 0:
+                for side, text in (("before", s[:at][::-1]), ("after", s[at + 12 :])):
+                    for place, base in enumerate(text[: adapters.MOST]):
+                        asked[u, code(kmer), side, place, base] = asked.get((u, code(kmer), side, place, base), 0) + 1
+    around = adapters._around(df, [(u, code(kmer)) for u, own in kmers.items() for kmer in own])
+    found = {tuple(x)[:-1]: x["n"] for x in around.collect()}
+    assert found == asked and len(asked) > 1000 and adapters._around(df, []).count() == 0
+    none = spark.createDataFrame([("u1", None), (None, "ACGT"), ("u1", "")], "unit_id string, seq string")
+    assert adapters.detect_adapters(none).count() == 0
+
+
 def test_duplicates_without_a_shuffle_of_reads(spark, monkeypatch):
     """Where reads begin at few places, none is shuffled; with many, the verdicts are the same."""
     r = random.Random(8)
