@@ -236,3 +236,25 @@ def test_waves_and_the_filter_lose_nothing(spark, monkeypatch):
     every, some = (seeds.exact_seeds(df, plans, known).withColumnRenamed("odd", "odd_read") for known in (None, {11: index.filter(11)}))
     assert some.count() < every.count() / 4
     assert own <= {(x["read_id"], x["pos"]) for x in seeds.placed(index.hits(some, 11)).collect()}
+
+
+def test_reads_that_agree_whole_need_no_programme(monkeypatch):
+    """The programme's own result for reads that agree in every base, at a tandem repeat's first place too."""
+    r = random.Random(12)
+    code = lambda s, n, fill: [("ACGT".find(c) if c in "ACGT" else 4) for c in s] + [fill] * (n - len(s))
+    texts = []
+    for i in range(80):
+        ref = "".join(r.choices("ACGT", k=60)) if i % 3 else "ACGAC"[: r.randint(1, 5)] * 60
+        own = ref[:60][(p := r.randint(0, 30)) : p + r.randint(10, 30)]
+        texts.append((own if i % 4 else own[:5] + "N" + own[6:], ref[:60]))
+    reads = np.array([code(a, 30, 4) for a, _ in texts], np.uint8)
+    refs, sizes = np.array([code(b, 60, 5) for _, b in texts], np.uint8), np.array([len(a) for a, _ in texts])
+    found, asked = [], []
+    for out in (found, asked):
+        out += [gapped.banded(reads, sizes, refs), gapped.banded(reads[1:2], sizes[1:2], refs[1:2])]
+        monkeypatch.setattr(gapped, "_whole", lambda reads, *_: np.full(len(reads), -1))
+    for a, b in zip(found, asked, strict=True):
+        assert all(list(map(str, a[k])) == list(map(str, b[k])) for k in b)
+    monkeypatch.undo()
+    monkeypatch.setattr(gapped, "_lot", None)
+    assert gapped.banded(reads[1:2], sizes[1:2], refs[1:2])["cigar"][0].as_py() == f"{sizes[1]}M"
